@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegauge.functions.times import int_div
 
@@ -46,10 +47,10 @@ def exact_percentile(
     ).drop("_until")
 
     # Both sides are clustered by (keys, block); null keys must meet.
-    same = [counted[k].eqNullSafe(wanted[k]) for k in [*keys, "_block"]]
-    inside = counted.join(wanted, same).select(
-        *[counted[k] for k in [*keys, "_block", "_v", "_n"]], "_before", "_rank"
-    )
+    by = [*keys, "_block"]
+    wanted = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in by], "_before", "_rank")
+    same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in by])
+    inside = counted.join(wanted, same)
     within = Window.partitionBy(*keys, "_block").orderBy("_v")
     end = F.col("_before") + F.sum("_n").over(within)
     ranked = inside.select(*keys, "_v", "_rank", (end - F.col("_n")).alias("_from"), end.alias("_to"))

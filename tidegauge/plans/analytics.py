@@ -573,7 +573,7 @@ def _(spark, sf_dir):
     return reports.bucket_history(_instance_buckets(spark, sf_dir), "2024-01-10", "provisioned")
 
 
-@register("O5_recent_scored", f"WITH {E}, {W} SELECT {sql_cols(reports.RECENT_SCORED_COLS[:-4])}, {_SCORES} FROM scored")
+@register("O5_recent_scored", f"WITH {E}, {W} SELECT {sql_cols(reports.RECENT_SCORED_COLS)} FROM scored")
 def _(spark, sf_dir):
     return reports.recent_scored(baselines.scored_events(typed_events(spark, sf_dir)))
 

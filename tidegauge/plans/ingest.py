@@ -21,11 +21,11 @@ from tidegauge.plans.mapping import (
     typed_events,
 )
 from tidegauge.plans.registry import register
-from tidegauge.schema import CANONICAL_COLS, UI_COLS, WAREHOUSE_COLS
+from tidegauge.schema import CANONICAL_COLS, SCORE_COLS, UI_COLS, WAREHOUSE_COLS
 from tidegauge.sources import tables
 
 # SQL forms of the column lists; doubles to 6 decimals.
-_DOUBLES = {"scanned_mb", "spilled_mb", "duration_seconds", "spill_pressure"}
+_DOUBLES = {"scanned_mb", "spilled_mb", "duration_seconds", "spill_pressure", *SCORE_COLS}
 
 
 def sql_cols(names, prefix: str = "") -> str:

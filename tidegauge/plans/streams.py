@@ -1 +1,258 @@
-"""Registered queries."""
+"""Registered queries that run streams and sinks.
+
+A stream's input is the mapped event table, written in three slices of time
+into a new shared folder. After each slice the stream is started on its
+checkpoint, handles what is new, and stops: so slices arrive in order and
+every query also goes through two restarts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tidegauge.operators import validate
+from tidegauge.operators.baselines import scored_events
+from tidegauge.plans.analytics import FIVE, MINUTE, SCORED_STATS, STATS, _system_sql, _SYSTEM_COLS
+from tidegauge.plans.ingest import sql_cols
+from tidegauge.plans.mapping import C, E, W, dirty_events, events, table, typed_events
+from tidegauge.plans.registry import register
+from tidegauge.schema import CANONICAL, CANONICAL_COLS, RECENT_COLS, SCORE_COLS, WAREHOUSE_COLS
+from tidegauge.sources import messages, sinks, tables
+from tidegauge.storage import scratch_path
+from tidegauge.streaming import rows as stream_rows, tables as stream_tables
+
+_CUTS = ["2024-01-11", "2024-01-21"]
+_MANY = 1_000_000
+
+Start = Callable[[DataFrame, str], StreamingQuery]
+
+
+def _slices(df: DataFrame, time_col: str = "arrival_timestamp") -> list[DataFrame]:
+    """``df`` in three slices of time, rows without a time in the first."""
+    at = F.coalesce(F.col(time_col).try_cast("timestamp"), F.lit("2024-01-01").cast("timestamp"))
+    first, second = (F.lit(c).cast("timestamp") for c in _CUTS)
+    return [df.filter(at < first), df.filter((at >= first) & (at < second)), df.filter(at >= second)]
+
+
+def _feed(df: DataFrame, start: Start) -> str:
+    """Stream ``df`` through ``start``; gives the folder it may write under."""
+    spark, base = df.sparkSession, scratch_path(df.sparkSession, "stream")
+    for part in _slices(df):
+        part.write.mode("append").parquet(f"{base}/in")
+        source = tables.stream_parquet(spark, f"{base}/in", df.schema, _MANY)
+        start(source, base).awaitTermination()
+    return base
+
+
+def _feed_messages(df: DataFrame, time_col: str, start: Start) -> str:
+    """The same with JSON messages."""
+    spark, base = df.sparkSession, scratch_path(df.sparkSession, "messages")
+    for part in _slices(df, time_col):
+        sinks.write_messages(part, f"{base}/raw", "json")
+        source = messages.stream_messages(spark, [f"{base}/raw"], "json", max_per_trigger=_MANY)
+        start(source, base).awaitTermination()
+    return base
+
+
+def _append(df: DataFrame, base: str) -> StreamingQuery:
+    return sinks.stream_batches(df, f"{base}/out", f"{base}/checkpoint", max_rows=5000)
+
+
+def _read(spark: SparkSession, base: str, name: str = "out") -> DataFrame:
+    return spark.read.parquet(f"{base}/{name}")
+
+
+# --- sources ----------------------------------------------------------------
+
+
+@register(
+    "S3_stream_parquet",
+    "SELECT event_id, ts, user_id, event_type, round(value, 6) AS value, props FROM events",
+)
+def _(spark, sf_dir):
+    base = scratch_path(spark, "stream")
+    table(spark, sf_dir, "events")
+    source = tables.stream_parquet(spark, f"{sf_dir}/events*.parquet")
+    _append(source, base).awaitTermination()
+    return _read(spark, base)
+
+
+@register("S4_stream_kafka_json", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
+def _(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    start = lambda source, base: _append(stream_rows.stream_canonical(source), base)
+    return _read(spark, _feed_messages(rows, "arrival_timestamp", start))
+
+
+# --- streams ----------------------------------------------------------------
+
+
+@register(
+    "X1_stream_clean",
+    f"""WITH {C} SELECT {sql_cols(CANONICAL_COLS)}, coalesce(nullif(deployment, ''), 'unknown') AS dataset_type
+    FROM c""",
+)
+def _(spark, sf_dir):
+    raw = dirty_events(spark, sf_dir).withColumnRenamed("deployment", "deployment_type")
+    start = lambda source, base: _append(stream_rows.stream_clean(source), base)
+    return _read(spark, _feed_messages(raw, "arrival_time", start))
+
+
+@register("X2_stream_dedup", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
+def _(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    start = lambda source, base: _append(stream_rows.stream_dedup(source), base)
+    return _read(spark, _feed(rows.unionByName(rows), start))
+
+
+@register(
+    "X3_stream_baselines",
+    f"WITH {E}, {W} SELECT dataset_type, {sql_cols(CANONICAL_COLS)}, {sql_cols(SCORE_COLS)} FROM scored",
+)
+def _(spark, sf_dir):
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        return stream_tables.stream_baselines(source, f"{base}/out", f"{base}/state", f"{base}/checkpoint")
+
+    scored = _read(spark, _feed(typed_events(spark, sf_dir), start))
+    return scored.drop(stream_tables.BATCH_COL)
+
+
+def _rolled(df: DataFrame, kind: str, keys: list[str]) -> DataFrame:
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        rolled = stream_rows.stream_rollup(source, kind, "1 hour")
+        return stream_tables.stream_updates(rolled, f"{base}/out", f"{base}/checkpoint")
+
+    return stream_tables.read_updates(df.sparkSession, f"{_feed(df, start)}/out", keys)
+
+
+@register(
+    "X4_stream_rollup_minute",
+    f"WITH {E} SELECT {MINUTE} AS window_start, deployment_type, {STATS} FROM e GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    return _rolled(events(spark, sf_dir), "minute", ["window_start", "deployment_type"])
+
+
+@register(
+    "X4_stream_rollup_5min",
+    f"WITH {E} SELECT {FIVE} AS window_start, deployment_type, {STATS} FROM e GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    return _rolled(events(spark, sf_dir), "5min", ["window_start", "deployment_type"])
+
+
+@register(
+    "X4_stream_rollup_scored",
+    f"WITH {E}, {W} SELECT {MINUTE} AS window_start, dataset_type, {SCORED_STATS} FROM scored GROUP BY 1, 2",
+)
+def _(spark, sf_dir):
+    return _rolled(scored_events(typed_events(spark, sf_dir)), "scored", ["window_start", "dataset_type"])
+
+
+@register(
+    "X4_stream_system_metrics",
+    f"WITH {E}, {_system_sql('deployment_type')} SELECT deployment_type, {_SYSTEM_COLS} FROM a6",
+)
+def _(spark, sf_dir):
+    return _rolled(events(spark, sf_dir), "system", ["bucket_start", "deployment_type"])
+
+
+@register(
+    "X4_stream_instance_metrics",
+    f"""WITH {E} SELECT {FIVE} AS bucket_start, deployment_type, instance_id, count(*) AS running_count,
+      round(sum(scanned_mb), 6) AS scanned_mb, round(sum(spilled_mb), 6) AS spilled_mb
+    FROM e WHERE instance_id IS NOT NULL GROUP BY 1, 2, 3""",
+)
+def _(spark, sf_dir):
+    return _rolled(events(spark, sf_dir), "instance", ["bucket_start", "deployment_type", "instance_id"])
+
+
+@register(
+    "X5_stream_last_n",
+    f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e ORDER BY e.arrival_timestamp DESC, e.query_id LIMIT 1000",
+)
+def _(spark, sf_dir):
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        return stream_tables.stream_last_n(source, f"{base}/kept", f"{base}/checkpoint")
+
+    base = _feed(events(spark, sf_dir), start)
+    return stream_tables.read_last_n(spark, f"{base}/kept")
+
+
+@register(
+    "X6_stream_upsert", f"WITH {E} SELECT {MINUTE} AS window_start, deployment_type, {STATS} FROM e GROUP BY 1, 2"
+)
+def _(spark, sf_dir):
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        paths = f"{base}/events", f"{base}/rollups", f"{base}/checkpoint"
+        return stream_tables.stream_upsert(source, *paths, part="day")
+
+    # Every event comes twice within its batch; the stored table has it once.
+    rows = events(spark, sf_dir)
+    base = _feed(rows.unionByName(rows), start)
+    return _read(spark, base, "rollups").drop(stream_tables.PART_COL)
+
+
+@register(
+    "X7_route_topics",
+    f"""WITH {E}, {W} SELECT CASE WHEN dataset_type = 'provisioned' THEN 'query_metrics_processed_provisioned'
+        ELSE 'query_metrics_processed_serverless' END AS topic, dataset_type, {sql_cols(CANONICAL_COLS)},
+      {sql_cols(SCORE_COLS)} FROM scored""",
+)
+def _(spark, sf_dir):
+    start = lambda source, base: _append(stream_rows.route_topics(source), base)
+    routed = _read(spark, _feed(scored_events(typed_events(spark, sf_dir)), start))
+    fields = ", ".join(
+        ["dataset_type string", *[f"{f.name} {f.dataType.simpleString()}" for f in CANONICAL]]
+        + [f"{s} double" for s in SCORE_COLS]
+    )
+    return routed.select("topic", F.from_json("value", fields).alias("row")).select("topic", "row.*")
+
+
+# --- sinks ------------------------------------------------------------------
+
+
+@register("K1_write_batches", f"WITH {E} SELECT {sql_cols(RECENT_COLS)} FROM e")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "batches")
+    sinks.write_batches(events(spark, sf_dir).select(*RECENT_COLS), path, max_rows=1000)
+    return spark.read.parquet(path)
+
+
+@register("K1_write_batches_csv", f"WITH {E} SELECT {sql_cols(WAREHOUSE_COLS)} FROM e")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "batches")
+    staged = validate.project_warehouse(events(spark, sf_dir))
+    sinks.write_batches(staged, path, max_rows=1000, fmt="csv")
+    return spark.read.schema(staged.schema).csv(path, header=True, timestampFormat=sinks.ISO_UTC)
+
+
+@register("K2_write_kafka_json", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "topic")
+    sinks.write_messages(events(spark, sf_dir), path, "json")
+    lines = spark.read.text(path)
+    decoded = validate.decode_json(validate.forbid_extra(lines), validate.text_schema(CANONICAL_COLS))
+    return validate.validate_canonical(validate.typed_message(decoded))
+
+
+@register("K3_stage_for_warehouse", f"WITH {E} SELECT {sql_cols(WAREHOUSE_COLS)} FROM e")
+def _(spark, sf_dir):
+    prefix = scratch_path(spark, "stage")
+    for batch_id, part in enumerate(_slices(events(spark, sf_dir))):
+        sinks.stage_for_warehouse(part, prefix, batch_id)
+        sinks.stage_for_warehouse(part, prefix, batch_id)
+    return spark.read.parquet(prefix).drop("batch_id")
+
+
+@register(
+    "K4_write_tables",
+    f"""WITH {E} SELECT {sql_cols(CANONICAL_COLS)}, cast(arrival_timestamp AS DATE) AS arrival_date FROM e""",
+)
+def _(spark, sf_dir):
+    path = scratch_path(spark, "table")
+    sinks.write_tables(events(spark, sf_dir), path)
+    return spark.read.parquet(path)

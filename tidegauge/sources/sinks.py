@@ -20,12 +20,17 @@ def _checked_format(fmt: str) -> str:
     return fmt
 
 
+def _format_options(fmt: str) -> dict[str, str]:
+    # CSV would cut the times to milliseconds.
+    return {"header": "true", "timestampFormat": ISO_UTC} if fmt == "csv" else {}
+
+
 def write_batches(df: DataFrame, path: str, max_rows: int, fmt: str = "parquet") -> None:
     """Files of at most ``max_rows`` rows each."""
     if max_rows <= 0:
         raise ValueError("max_rows must be > 0")
     writer = df.write.format(_checked_format(fmt)).mode("append").option("maxRecordsPerFile", max_rows)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    writer.options(**_format_options(fmt)).save(path)
 
 
 def stream_batches(
@@ -45,9 +50,8 @@ def stream_batches(
         .option("maxRecordsPerFile", max_rows)
         .option("checkpointLocation", checkpoint)
         .option("path", path)
+        .options(**_format_options(fmt))
     )
-    if fmt == "csv":
-        writer = writer.option("header", True)
     if max_seconds is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{max_seconds} seconds").start()
@@ -98,21 +102,30 @@ def write_tables(
     sort_cols: Sequence[str] = ("deployment_type", "arrival_timestamp"),
     date_col: str = "arrival_date",
     mode: str = "append",
-    tasks_per_day: int = 16,
 ) -> None:
     """A table partitioned by date, sorted within its files.
 
     Readers prune whole days, and within files the row groups' statistics on
-    the sort columns. Rows are spread over ``tasks_per_day`` tasks by day and a
-    hash, so that a hot day is not written by one task.
+    the sort columns. With ``mode='overwrite'`` only the days in ``df`` are
+    replaced.
     """
     dated = df.withColumn(date_col, F.to_date(time_col))
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_day))
+    write_partitions(dated, path, [date_col], sort_cols, mode)
+
+
+def write_partitions(
+    df: DataFrame, path: str, by: Sequence[str], sort_cols: Sequence[str] = (), mode: str = "overwrite"
+) -> None:
+    """Write ``df`` partitioned by the columns ``by``.
+
+    The rebalance hint gathers the rows of a partition, so that it gets few
+    files, and lets adaptive execution split a hot one over several tasks.
+    """
     (
-        dated.repartition(date_col, spread)
-        .sortWithinPartitions(date_col, *sort_cols)
+        df.hint("rebalance", *by)
+        .sortWithinPartitions(*by, *sort_cols)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_col)
+        .partitionBy(*by)
         .parquet(path)
     )

@@ -14,9 +14,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.operators.baselines import DEFAULT_ALPHA, baseline_scores, baselines_and_state
 from tidegauge.operators.dedup import dedup_exact, dedup_last_wins, latest_version
 from tidegauge.operators.rollups import rollup_minute
+from tidegauge.sources.sinks import write_partitions
 
 BATCH_COL = "batch_id"
-HOUR_COL = "arrival_hour"
+PART_COL = "arrival_part"
+# How long a span of time shares one partition.
+PART_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def _start(
@@ -99,35 +102,35 @@ def stream_upsert(
     rollups_path: str,
     checkpoint: str,
     ingest_order: str | None = None,
+    part: str = "hour",
     seconds: int | None = None,
 ) -> StreamingQuery:
     """Append each batch to the event table and refresh the minute rollups it touches.
 
     Within a batch the last row of an event wins, by ``ingest_order`` where
-    given. Events lie by hour and batch, so a repeated batch overwrites itself.
-    Rollups lie by hour; the hours of a batch are computed again from the
-    stored events of just these hours, late rows included. The stream's
-    position is committed after both writes.
+    given. Events lie by ``part`` (hour or day) and batch, so a repeated batch
+    overwrites itself. Rollups lie by the same part; the parts of a batch are
+    computed again from the stored events of just these parts, so late rows
+    count and nothing is added twice. The stream's position is committed after
+    both writes.
     """
+    if part not in PART_FORMATS:
+        raise ValueError(f"part must be one of {', '.join(PART_FORMATS)}")
+    fmt = PART_FORMATS[part]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = dedup_last_wins(batch, ingest_order) if ingest_order else dedup_exact(batch)
         rows = rows.withColumns(
-            {
-                HOUR_COL: F.date_format("arrival_timestamp", "yyyy-MM-dd-HH"),
-                BATCH_COL: F.lit(batch_id).cast("bigint"),
-            }
+            {PART_COL: F.date_format("arrival_timestamp", fmt), BATCH_COL: F.lit(batch_id).cast("bigint")}
         )
-        if rows.isEmpty():
-            return
-        _overwrite_partitions(rows, events_path, [HOUR_COL, BATCH_COL])
+        write_partitions(rows, events_path, [PART_COL, BATCH_COL], ["arrival_timestamp"])
 
-        stored = spark.read.parquet(events_path)
-        touched = stored.filter(F.col(BATCH_COL) == batch_id).select(HOUR_COL).distinct()
-        minutes = rollup_minute(stored.join(touched, HOUR_COL, "left_semi"))
-        hourly = minutes.withColumn(HOUR_COL, F.date_format("window_start", "yyyy-MM-dd-HH"))
-        _overwrite_partitions(hourly, rollups_path, [HOUR_COL])
+        stored = spark.read.schema(rows.schema).parquet(events_path)
+        touched = stored.filter(F.col(BATCH_COL) == batch_id).select(PART_COL).distinct()
+        minutes = rollup_minute(stored.join(touched, PART_COL, "left_semi"))
+        parted = minutes.withColumn(PART_COL, F.date_format("window_start", fmt))
+        write_partitions(parted, rollups_path, [PART_COL], ["window_start"])
 
     return _start(df, handle, checkpoint, seconds)
 
@@ -147,8 +150,3 @@ def stream_updates(rolled: DataFrame, path: str, checkpoint: str, seconds: int |
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The latest state of every window that ``stream_updates`` wrote."""
     return latest_version(spark.read.parquet(path), keys, BATCH_COL).drop(BATCH_COL)
-
-
-def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*by).parquet(path)

@@ -1,0 +1,171 @@
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tidegauge.functions import numbers, scores, text, times
+from tidegauge.operators import clean
+from tidegauge.settings import CleaningRules
+
+
+def values(spark, data, dtype, fn):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data)], T.StructType(
+        [T.StructField("i", T.IntegerType()), T.StructField("v", dtype)]))
+    return [r["out"] for r in df.select("i", fn(F.col("v")).alias("out")).orderBy("i").collect()]
+
+
+def clean_one(spark, row, rules=CleaningRules()):
+    fields = [T.StructField(k, t) for k, (t, _) in row.items()]
+    df = spark.createDataFrame([tuple(v for _, v in row.values())], T.StructType(fields))
+    return clean.clean_enrich(df, rules).collect()
+
+
+S, L, D, TS = T.StringType(), T.LongType(), T.DoubleType(), T.TimestampType()
+AT = (S, "2024-01-01 10:00:00")
+
+
+def test_coerce_int_text(spark):
+    data = ["12", " 12 ", "-5", "12.7", "-12.7", "1e3", "NaN", "inf", "abc", "", None, "1d", "9007199254740993", "1e30"]
+    want = [12, 12, -5, 12, -12, 1000, None, None, None, None, None, None, 9007199254740993, None]
+    assert values(spark, data, S, lambda c: numbers.coerce_int(c, S)) == want
+
+
+def test_coerce_int_double(spark):
+    data = [3.7, -3.7, math.nan, math.inf, None]
+    assert values(spark, data, D, lambda c: numbers.coerce_int(c, D)) == [3, -3, None, None, None]
+
+
+def test_coerce_float_keeps_infinity(spark):
+    data = ["1.5", "NaN", "inf", "-Infinity", "x", "2f", ".5", "5.", None]
+    want = [1.5, None, math.inf, -math.inf, None, None, 0.5, 5.0, None]
+    assert values(spark, data, S, lambda c: numbers.coerce_float(c, S)) == want
+
+
+def test_strings(spark):
+    data = ["  Ab\t\n", " x　", "   ", "", None]
+    assert values(spark, data, S, text.normalize_string) == ["ab", "x", None, None, None]
+    assert values(spark, data[:1], S, lambda c: text.normalize_string(c, lower=False)) == ["Ab"]
+
+
+def test_deployment(spark):
+    data = [" Serverless ", "PROVISIONED", "cloud", None, ""]
+    got = values(spark, data, S, lambda c: text.normalize_deployment(c, ("provisioned", "serverless", "unknown")))
+    assert got == ["serverless", "provisioned", "unknown", "unknown", "unknown"]
+
+
+def test_timestamps(spark):
+    data = ["2024-01-01T12:00:00+02:00", "2024-01-01 10:00:00.5", "2024-01-01", "12:30", "nope", None]
+    got = values(spark, data, S, lambda c: times.parse_timestamp_utc(c, S))
+    assert got == [datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 0, 500000), datetime(2024, 1, 1), None, None, None]
+    formats = ("MMM d yyyy",)
+    assert values(spark, ["Jan 5 2024"], S, lambda c: times.parse_timestamp_utc(c, S, formats)) == [datetime(2024, 1, 5)]
+
+
+def test_first_present_alias_wins_even_when_null(spark):
+    row = {
+        "query_id": (S, "Q1"), "arrival_time": AT, "queue_duration_ms": (L, None), "queue_ms": (L, 500),
+        "mbytes_scanned": (D, 3.0), "cluster_id": (L, 42),
+    }
+    (got,) = clean_one(spark, row)
+    assert got["queue_duration_ms"] == 0 and not got["queued"]
+    assert got["scanned_mb"] == 3.0 and got["instance_id"] == "42" and got["query_id"] == "q1"
+
+
+def test_times_are_derived(spark):
+    row = {"query": (S, "a"), "arrived_at": AT, "queue_ms": (L, 1500), "compile_ms": (L, 200), "exec_ms": (L, 300)}
+    (got,) = clean_one(spark, row)
+    start = datetime(2024, 1, 1, 10) + timedelta(milliseconds=1500)
+    assert got["execution_start_time"] == start
+    assert got["execution_end_time"] == start + timedelta(milliseconds=500)
+    assert got["duration_seconds"] == 0.5 and got["queued"]
+
+
+def test_end_before_start_is_lifted_and_arrival_clamped(spark):
+    row = {
+        "query_id": (S, "a"), "arrival_timestamp": AT,
+        "start_time": (S, "2024-01-01 09:00:00"), "end_time": (S, "2024-01-01 08:00:00"),
+    }
+    (got,) = clean_one(spark, row)
+    nine = datetime(2024, 1, 1, 9)
+    assert got["execution_end_time"] == nine and got["arrival_timestamp"] == nine
+    assert clean_one(spark, row, CleaningRules(end_after_start=False)) == []
+
+
+def test_only_one_of_start_and_end_given(spark):
+    given_end = {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (L, 1000), "end_time": (S, "2024-01-01 10:01:00")}
+    (got,) = clean_one(spark, given_end)
+    assert got["duration_seconds"] == 59.0
+    given_start = {"query_id": (S, "a"), "arrival_timestamp": AT, "exec_ms": (L, 1000), "start_time": (S, "2024-01-01 09:00:00")}
+    (got,) = clean_one(spark, given_start)
+    assert got["arrival_timestamp"] == datetime(2024, 1, 1, 9) and got["duration_seconds"] == 1.0
+
+
+@pytest.mark.parametrize("bad", [
+    {"query_id": (S, "  "), "arrival_timestamp": AT},
+    {"query_id": (S, None), "arrival_timestamp": AT},
+    {"query_id": (S, "a"), "arrival_timestamp": (S, "not a date")},
+    {"query_id": (S, "a"), "arrival_timestamp": (S, None), "start_time": AT, "end_time": AT},
+    {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (L, 2**62)},
+    {"query_id": (S, "a"), "arrival_timestamp": AT, "exec_ms": (L, 300_000_000_000_000)},
+    {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (L, 2**62), "end_time": AT},
+])
+def test_dropped_rows(spark, bad):
+    assert clean_one(spark, bad) == []
+
+
+def test_negative_and_nan_measures(spark):
+    row = {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (L, -5), "scan_mb": (D, math.nan), "spill_mb": (D, -2.0)}
+    (got,) = clean_one(spark, row)
+    assert (got["queue_duration_ms"], got["scanned_mb"], got["spilled_mb"]) == (0, 0.0, 0.0)
+    assert clean_one(spark, row, CleaningRules(clip_durations=False)) == []
+    assert clean_one(spark, row, CleaningRules(clip_metrics=False)) == []
+
+
+def test_fill_value(spark):
+    row = {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (S, "junk"), "scan_mb": (S, None)}
+    (got,) = clean_one(spark, row, CleaningRules(numeric_fill=7.9))
+    assert got["queue_duration_ms"] == 7 and got["scanned_mb"] == 7.9 and got["spilled_mb"] == 7.9
+
+
+def test_row_spill_pressure_uses_scanned_below_one(spark):
+    df = spark.createDataFrame([(0.5, 1.0), (0.0, 3.0), (2.0, 1.0), (math.inf, math.inf)], "a double, b double")
+    got = [r[0] for r in df.select(scores.row_spill_pressure(F.col("a"), F.col("b"))).collect()]
+    assert got == [2.0, 3.0, 0.5, 0.0]
+
+
+def test_enrichment_switches(spark):
+    row = {"query_id": (S, "a"), "arrival_timestamp": AT, "queue_ms": (L, 5), "exec_ms": (L, 9), "scan_mb": (D, 1.0), "spill_mb": (D, 1.0)}
+    rules = CleaningRules(with_duration=False, with_spill_pressure=False, with_queue_flag=False)
+    (got,) = clean_one(spark, row, rules)
+    assert (got["duration_seconds"], got["spill_pressure"], got["queued"]) == (0.0, 0.0, False)
+
+
+def test_typed_input_and_keep(spark):
+    df = spark.createDataFrame([(5, datetime(2024, 1, 1), 3.7, "x")], "query_id long, arrival_timestamp timestamp, queue_ms double, tag string")
+    (got,) = clean.clean_enrich(df, keep=["tag"]).collect()
+    assert got["query_id"] == "5" and got["queue_duration_ms"] == 3 and got["tag"] == "x"
+
+
+def test_dataset_type_keeps_case_and_blanks(spark):
+    df = spark.createDataFrame([("", "Serverless"), (None, None), (" ", "x"), ("A", "")], "dataset_type string, deployment_type string")
+    assert [r["dataset_type"] for r in clean.derive_dataset_type(df).collect()] == ["Serverless", "unknown", " ", "A"]
+
+
+def test_presence_per_row(spark):
+    df = spark.createDataFrame(
+        [("a", None, "late", ["query_id", "queryid"]), (None, None, "late", ["queryid"]), ("a", None, None, ["query_id"])],
+        "query_id string, x string, queryid string, _keys array<string>",
+    ).withColumn("query_id", F.when(F.col("queryid").isNull(), F.col("query_id")))
+    got = [r["query_id"] for r in clean.resolve_aliases(df, "_keys").select("query_id").collect()]
+    # An explicit null under the first name blocks the second.
+    assert got == [None, "late", "a"]
+
+
+def test_other_time_zone_is_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError):
+            clean.clean_enrich(spark.createDataFrame([("a", "2024-01-01")], "query_id string, arrival_time string"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

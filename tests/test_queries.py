@@ -1,0 +1,29 @@
+"""Every registered query against its SQL counterpart, on the smallest data."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, difference
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, con, name):
+    assert difference(spark, con, entry.queries()[name], entry.oracle_sql()[name], SF_DIR) is None
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())

@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 # Later instants are treated as invalid.
 LAST_INSTANT = "9999-12-31 23:59:59.999999"
+_YEAR_FIRST = r"^\s*[+-]?\d{4}"
 _FAR_FUTURE = 2**63 - 1
 
 
@@ -17,13 +18,15 @@ def int_div(a: Column, b: Column | int) -> Column:
 def parse_timestamp_utc(c: Column, dtype: T.DataType, formats: tuple[str, ...] = ()) -> Column:
     """Timestamp; a text or value without zone is UTC, unparsable text is null.
 
-    ISO forms are understood as they are, ``formats`` adds further patterns.
+    ISO forms are understood as they are, ``formats`` adds further patterns. A
+    time of day without a date is no timestamp.
     """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("timestamp")
     text = c.cast("string")
     return F.coalesce(
-        text.try_cast("timestamp"),
+        # The cast is slow on junk.
+        F.when(text.rlike(_YEAR_FIRST), text.try_cast("timestamp")),
         *[F.try_to_timestamp(text, F.lit(f)) for f in formats],
     )
 

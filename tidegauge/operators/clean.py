@@ -36,11 +36,12 @@ def resolve_aliases(
     of its columns. Rows decoded from JSON may differ, so ``present_keys``
     names an array column that lists each row's own keys.
     """
-    return df.select(*keep, *[_pick(df, field, present_keys).alias(field) for field in ALIASES])
+    present = df.columns
+    return df.select(*keep, *[_pick(present, field, present_keys).alias(field) for field in ALIASES])
 
 
-def _pick(df: DataFrame, field: str, present_keys: str | None) -> Column:
-    names = [n for n in ALIASES[field] if n in df.columns]
+def _pick(present: Sequence[str], field: str, present_keys: str | None) -> Column:
+    names = [n for n in ALIASES[field] if n in present]
     if not names:
         return F.lit(None).cast("string")
     if present_keys is None:
@@ -52,7 +53,8 @@ def _pick(df: DataFrame, field: str, present_keys: str | None) -> Column:
 
 
 def require_query_id(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("query_id").isNotNull())
+    """Drop rows whose id is missing or blank."""
+    return df.filter(text.strip(F.col("query_id").cast("string")) != "")
 
 
 def normalize_strings(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -76,11 +78,13 @@ def derive_dataset_type(df: DataFrame) -> DataFrame:
 
 
 def coerce_ints(df: DataFrame, cols: Sequence[str] = DURATION_COLS) -> DataFrame:
-    return df.withColumns({c: numbers.coerce_int(F.col(c), df.schema[c].dataType) for c in cols})
+    schema = df.schema
+    return df.withColumns({c: numbers.coerce_int(F.col(c), schema[c].dataType) for c in cols})
 
 
 def coerce_floats(df: DataFrame, cols: Sequence[str] = METRIC_COLS) -> DataFrame:
-    return df.withColumns({c: numbers.coerce_float(F.col(c), df.schema[c].dataType) for c in cols})
+    schema = df.schema
+    return df.withColumns({c: numbers.coerce_float(F.col(c), schema[c].dataType) for c in cols})
 
 
 def fill_numeric(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
@@ -103,8 +107,9 @@ def clip_non_negative(df: DataFrame, rules: CleaningRules = CleaningRules()) ->
 def parse_timestamps(df: DataFrame, formats: tuple[str, ...] = ()) -> DataFrame:
     """Read the three times; a row without a valid arrival is dropped."""
     require_utc(df.sparkSession)
+    schema = df.schema
     parsed = df.withColumns(
-        {c: times.parse_timestamp_utc(F.col(c), df.schema[c].dataType, formats) for c in TIME_COLS}
+        {c: times.parse_timestamp_utc(F.col(c), schema[c].dataType, formats) for c in TIME_COLS}
     )
     return parsed.filter(F.col("arrival_timestamp").isNotNull())
 
@@ -148,18 +153,23 @@ def enrich_queued(df: DataFrame, rules: CleaningRules = CleaningRules()) -> Data
 
 
 def clean_resolved(
-    df: DataFrame, rules: CleaningRules = CleaningRules(), formats: tuple[str, ...] = (), keep: Sequence[str] = ()
+    df: DataFrame,
+    rules: CleaningRules = CleaningRules(),
+    formats: tuple[str, ...] = (),
+    keep: Sequence[str] = (),
+    times_given: bool = True,
 ) -> DataFrame:
     """``clean_enrich`` for rows that bear the canonical names already.
 
-    ``keep`` names further columns to carry through.
+    ``keep`` names further columns to carry through. ``times_given=False``
+    says that start and end are derived in every row.
     """
-    df = require_query_id(normalize_strings(df, rules))
-    df = normalize_deployment(df, rules)
+    df = normalize_deployment(normalize_strings(require_query_id(df), rules), rules)
     df = parse_timestamps(df, formats)
     df = coerce_floats(coerce_ints(df))
-    df = clip_non_negative(fill_numeric(df, rules), rules)
-    df = enforce_time_order(derive_start_end(df), rules)
+    df = derive_start_end(clip_non_negative(fill_numeric(df, rules), rules))
+    if times_given or not rules.clip_durations:
+        df = enforce_time_order(df, rules)
     df = enrich_queued(enrich_spill_pressure(enrich_duration(df, rules), rules), rules)
     return _drop_invalid(df, rules).select(*keep, *CANONICAL_COLS)
 
@@ -185,4 +195,6 @@ def clean_enrich(
     df: DataFrame, rules: CleaningRules = CleaningRules(), formats: tuple[str, ...] = (), keep: Sequence[str] = ()
 ) -> DataFrame:
     """Raw rows under any of their accepted names to valid canonical events."""
-    return clean_resolved(resolve_aliases(df, keep=keep), rules, formats, keep)
+    own = {*ALIASES["execution_start_time"], *ALIASES["execution_end_time"]}
+    resolved = resolve_aliases(df, keep=keep)
+    return clean_resolved(resolved, rules, formats, keep, times_given=not own.isdisjoint(df.columns))

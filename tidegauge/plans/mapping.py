@@ -22,11 +22,11 @@ _CLEAN = {
     ),
     "instance_id": "case when event_id % 50 = 0 then null else 'i-' || cast(user_id % 20 as string) end",
     "arrival_timestamp": "ts",
-    "queue_duration_ms": f"cast(case when {_K} < 50 then 0 else ({_K} - 50) * 100 end as bigint)",
+    "queue_duration_ms": "cast(case when k < 50 then 0 else (k - 50) * 100 end as bigint)",
     "compile_duration_ms": "cast((event_id % 30) * 10 as bigint)",
     "execution_duration_ms": "cast(case when event_id % 40 = 0 then 0 else floor(value * 10000) end as bigint)",
     "scanned_mb": "value * 10",
-    "spilled_mb": f"case when {_K} % 3 = 0 then value else 0 end",
+    "spilled_mb": "case when k % 3 = 0 then value else 0 end",
 }
 _RUN_ID = "'run-' || cast(event_id % 3 as string)"
 
@@ -71,7 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
     """Raw rows with canonical names, before cleaning."""
     extra = ["event_id", f"{_RUN_ID} AS run_id"] if with_id else []
-    return table(spark, sf_dir, "events").selectExpr(*extra, *[f"{e} AS {n}" for n, e in _CLEAN.items()])
+    source = table(spark, sf_dir, "events").selectExpr("*", f"{_K} AS k")
+    return source.selectExpr(*extra, *[f"{e} AS {n}" for n, e in _CLEAN.items()])
 
 
 def events(spark: SparkSession, sf_dir: str, with_id: bool = False) -> DataFrame:
@@ -101,7 +102,7 @@ _CLEAN_DUCK = {**_CLEAN, "run_id": _RUN_ID, "event_id": "event_id"}
 
 # CTE ``e``: canonical events with event_id, run_id and dataset_type.
 E = f"""
-e0 AS (SELECT {_columns(_CLEAN_DUCK)} FROM events),
+e0 AS (SELECT {_columns(_CLEAN_DUCK)} FROM (SELECT *, {_K} AS k FROM events)),
 e1 AS (SELECT *, arrival_timestamp + to_milliseconds(queue_duration_ms) AS execution_start_time FROM e0),
 e2 AS (SELECT *, execution_start_time + to_milliseconds(compile_duration_ms + execution_duration_ms)
          AS execution_end_time FROM e1),

@@ -40,6 +40,8 @@ def test_edges_equal_a_theta_join(make_events):
     hi = max(e for _, e in intervals.values()).replace(second=0, microsecond=0)
     want = brute(intervals, m(0), hi)
     assert sorted((r["query_id"], r["bucket_start"], r["overlap_start"], r["overlap_end"]) for r in got) == want
+    given = overlap.overlap_join(make_events(rows), ["query_id"], origin=m(0))
+    assert sorted(map(tuple, given.collect())) == sorted(map(tuple, got))
     assert all(r["bucket_end"] - r["bucket_start"] == WIDTH for r in got)
 
 

@@ -7,6 +7,7 @@ combined before the shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,7 +21,7 @@ def overlap_join(
     df: DataFrame,
     keep: Sequence[str] | None = None,
     width_minutes: int = 5,
-    origin: str = "first_minute",
+    origin: str | dt.datetime = "first_minute",
 ) -> DataFrame:
     """One row per query and bucket that properly intersect.
 
@@ -28,25 +29,25 @@ def overlap_join(
     of zero length inside a bucket therefore counts with overlap 0, one that
     lies exactly on a boundary does not. Parts before the first bucket are
     outside the spine. ``keep`` limits the columns carried along.
+
+    ``origin`` is ``first_minute`` or ``epoch``, see ``spine_bounds``, which
+    costs a pass over arrivals and ends, or the start of the first bucket.
     """
     width = width_minutes * 60_000_000
     start, end = F.unix_micros("execution_start_time"), F.unix_micros("execution_end_time")
-    bounds = spine_bounds(df, width_minutes, origin)
+    if isinstance(origin, dt.datetime):
+        lo = F.lit(origin).cast("timestamp")
+    else:
+        lo = spine_bounds(df, width_minutes, origin).getField("lo")
     keep = list(df.columns if keep is None else keep)
 
-    rows = df.select(*keep, start.alias("_s"), end.alias("_e"), bounds.alias("_b")).select(
-        *keep,
-        "_s",
-        "_e",
-        F.unix_micros("_b.lo").alias("_o"),
-        int_div(F.unix_micros("_b.hi") - F.unix_micros("_b.lo"), width).alias("_last"),
-    )
+    rows = df.select(*keep, start.alias("_s"), end.alias("_e"), F.unix_micros(lo).alias("_o"))
+    # The spine reaches over the last end, so no bucket lies beyond it.
     zero = F.lit(0).cast("bigint")
     first = int_div(F.greatest(F.col("_s") - F.col("_o"), zero), width)
     last = int_div(F.greatest(F.col("_e") - F.col("_o") - 1, zero), width)
-    last = F.least(F.greatest(first, last), F.col("_last"))
-    met = rows.filter((F.col("_e") > F.col("_o")) & (first <= F.col("_last"))).select(
-        *keep, "_s", "_e", "_o", F.explode(F.sequence(first, last)).alias("_k")
+    met = rows.filter(F.col("_e") > F.col("_o")).select(
+        *keep, "_s", "_e", "_o", F.explode(F.sequence(first, F.greatest(first, last))).alias("_k")
     )
     from_, to = F.col("_o") + F.col("_k") * width, F.col("_o") + (F.col("_k") + 1) * width
     met = met.filter((F.col("_s") < to) & (F.col("_e") > from_))
@@ -77,7 +78,7 @@ def _share(divisor: str) -> Column:
     raise ValueError("divisor must be 'execution' or 'interval'")
 
 
-def _overlap_rollup(df: DataFrame, keys: Sequence[str], divisor: str, origin: str) -> DataFrame:
+def _overlap_rollup(df: DataFrame, keys: Sequence[str], divisor: str, origin: str | dt.datetime) -> DataFrame:
     times = ["execution_start_time", "execution_end_time"] if divisor == "interval" else []
     keep = [*keys, *times, "execution_duration_ms", "scanned_mb", "spilled_mb"]
     met = overlap_join(df, keep, origin=origin).withColumn("_share", _share(divisor))
@@ -90,7 +91,7 @@ def _overlap_rollup(df: DataFrame, keys: Sequence[str], divisor: str, origin: st
 
 
 def overlap_rollup_deployment(
-    df: DataFrame, divisor: str = "execution", origin: str = "first_minute"
+    df: DataFrame, divisor: str = "execution", origin: str | dt.datetime = "first_minute"
 ) -> DataFrame:
     """Running queries and their shares of MB per bucket and deployment.
 
@@ -109,7 +110,7 @@ def overlap_rollup_deployment(
 
 
 def overlap_rollup_instance(
-    df: DataFrame, divisor: str = "execution", origin: str = "first_minute"
+    df: DataFrame, divisor: str = "execution", origin: str | dt.datetime = "first_minute"
 ) -> DataFrame:
     """The same per bucket, deployment and instance."""
     return _overlap_rollup(df, ["deployment_type", "instance_id"], divisor, origin)

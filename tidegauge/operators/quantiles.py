@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidegauge.functions.times import int_div
 
 
-def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, fraction: float, out: str, block: int = 65536
+def percentile_stats(
+    df: DataFrame, keys: Sequence[str], value: str, fraction: float, block: int = 65536
 ) -> DataFrame:
-    """Percentile of a bigint column per group, linear between neighbours.
+    """``count``, ``mean`` and ``percentile`` of a bigint column per group.
 
+    The percentile is exact, linear between neighbours; nulls do not count.
     ``percentile`` keeps all values of a group in one task's memory. Here equal
     values are counted first, so a group shrinks to its distinct values; these
     are cut into blocks of ``block`` consecutive numbers, the blocks' sizes
@@ -29,16 +30,19 @@ def exact_percentile(
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     counted = counted.withColumn("_block", int_div(F.col("_v") - F.pmod("_v", F.lit(block)), block))
 
-    per_block = counted.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"))
+    weighted = F.sum(F.col("_v").cast("double") * F.col("_n"))
+    per_block = counted.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"), weighted.alias("_total"))
     group = Window.partitionBy(*keys)
     until = F.sum("_n").over(group.orderBy("_block"))
-    rank = (F.sum("_n").over(group) - 1) * F.lit(float(fraction))
+    count = F.sum("_n").over(group)
     placed = per_block.select(
         *keys,
         "_block",
         (until - F.col("_n")).alias("_before"),
         until.alias("_until"),
-        rank.alias("_rank"),
+        count.alias("count"),
+        (F.sum("_total").over(group) / count).alias("mean"),
+        ((count - 1) * F.lit(float(fraction))).alias("_rank"),
     )
     lower, upper = F.floor("_rank"), F.ceil("_rank")
     wanted = placed.filter(
@@ -46,17 +50,19 @@ def exact_percentile(
         | ((F.col("_before") <= upper) & (upper < F.col("_until")))
     ).drop("_until")
 
-    # Both sides are clustered by (keys, block); null keys must meet.
+    # Null keys must meet; that also leaves both sides the same shuffle of
+    # ``counted``, which Spark then runs once.
     by = [*keys, "_block"]
-    wanted = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in by], "_before", "_rank")
+    wanted = wanted.withColumnsRenamed({k: f"_w_{k}" for k in by})
     same = functools.reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in by])
     inside = counted.join(wanted, same)
-    within = Window.partitionBy(*keys, "_block").orderBy("_v")
-    end = F.col("_before") + F.sum("_n").over(within)
-    ranked = inside.select(*keys, "_v", "_rank", (end - F.col("_n")).alias("_from"), end.alias("_to"))
-    at = lambda r: F.max(F.when((F.col("_from") <= r) & (r < F.col("_to")), F.col("_v")))
-    ends = ranked.groupBy(*keys).agg(
-        at(F.floor("_rank")).alias("_lo"), at(F.ceil("_rank")).alias("_hi"), F.max("_rank").alias("_rank")
-    )
-    share = F.col("_rank") - F.floor("_rank")
-    return ends.select(*keys, (F.col("_lo") + share * (F.col("_hi") - F.col("_lo"))).alias(out))
+    end = F.col("_before") + F.sum("_n").over(Window.partitionBy(*by).orderBy("_v"))
+    ranked = inside.withColumns({"_from": end - F.col("_n"), "_to": end})
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
+
+    same_in_group = [F.max(c).alias(c) for c in ("count", "mean", "_rank")]
+    ends = ranked.groupBy(*keys).agg(value_at(lower).alias("_lo"), value_at(upper).alias("_hi"), *same_in_group)
+    between = (F.col("_rank") - lower) * (F.col("_hi") - F.col("_lo"))
+    return ends.select(*keys, "count", "mean", (F.col("_lo") + between).alias("percentile"))

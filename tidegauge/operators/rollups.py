@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidegauge.functions import scores, times
 from tidegauge.operators import timeline
 from tidegauge.operators.joins import replace_buckets
-from tidegauge.operators.quantiles import exact_percentile
+from tidegauge.operators.quantiles import percentile_stats
 from tidegauge.schema import SCORE_COLS
 
 # What top_queries_window may rank by.
@@ -194,13 +194,14 @@ def rollup_p95(df: DataFrame) -> DataFrame:
         "deployment_type",
         "execution_duration_ms",
     )
-    keys = ["window_start", "deployment_type"]
-    counts = rows.groupBy(*keys).agg(
-        F.avg("execution_duration_ms").alias("avg_execution_duration_ms"),
-        F.count("*").alias("query_count"),
+    stats = percentile_stats(rows, ["window_start", "deployment_type"], "execution_duration_ms", 0.95)
+    return stats.withColumnsRenamed(
+        {
+            "count": "query_count",
+            "mean": "avg_execution_duration_ms",
+            "percentile": "p95_execution_duration_ms",
+        }
     )
-    p95 = exact_percentile(rows, keys, "execution_duration_ms", 0.95, "p95_execution_duration_ms")
-    return counts.join(p95, keys)
 
 
 def instance_capacity_p95(

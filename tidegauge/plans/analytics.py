@@ -12,6 +12,7 @@ from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import E, W, events, table, typed_events
 from tidegauge.plans.registry import register
 from tidegauge.schema import CANONICAL_COLS, RECENT_COLS, SCORE_COLS
+from tidegauge.storage import write_and_read
 
 AS_OF = "2024-01-28 06:30:00"
 STATS = """count(*) AS query_count, round(avg(duration_seconds), 6) AS avg_duration_seconds,
@@ -371,7 +372,8 @@ util AS (SELECT a7.*, running_count / greatest(cap_p95, 1) AS util FROM a7 LEFT
 
 
 def _util(spark, sf_dir):
-    metrics = rollups.instance_metrics_5min(events(spark, sf_dir))
+    # Stored: both sides read it, and the events are scanned once.
+    metrics = write_and_read(rollups.instance_metrics_5min(events(spark, sf_dir)), "instance-buckets")
     return joins.join_capacity(metrics, rollups.instance_capacity_p95(metrics))
 
 
@@ -440,12 +442,12 @@ def _(spark, sf_dir):
 
 def _deployment_buckets(spark, sf_dir):
     rolled = overlap.overlap_rollup_deployment(events(spark, sf_dir))
-    return rolled.withColumnRenamed("bucket_start", "window_start")
+    return write_and_read(rolled.withColumnRenamed("bucket_start", "window_start"), "buckets")
 
 
 def _instance_buckets(spark, sf_dir):
     rolled = overlap.overlap_rollup_instance(events(spark, sf_dir))
-    return rolled.withColumnRenamed("bucket_start", "window_start")
+    return write_and_read(rolled.withColumnRenamed("bucket_start", "window_start"), "instance-buckets")
 
 
 _DEP_COLS = f"""bucket_start AS window_start, deployment_type, running_count, queued_count,

@@ -39,10 +39,10 @@ def test_unlisted_deployment_becomes_unknown(make_events):
 
 
 def test_decode_takes_objects_only(spark):
-    lines = ['{"query_id": "a", "queue_ms": 5}', '{"queryid": null}', "[1]", '[{"query_id": "x"}]', "text", "", "3", "{}"]
+    lines = ['{"query_id": "a", "queue_ms": 5}', '{"queryid": null}', "[1]", '[{"query_id": "x"}]', "text", "", "3", "{}", '{"query_id": "a"', '  {"query": "z"}']
     df = spark.createDataFrame([(v,) for v in lines], "value string")
     got = {tuple(r["_keys"]): (r["query_id"], r["queue_ms"]) for r in validate.decode_json(df).collect()}
-    assert got == {("query_id", "queue_ms"): ("a", "5"), ("queryid",): (None, None), (): (None, None)}
+    assert got == {("query_id", "queue_ms"): ("a", "5"), ("queryid",): (None, None), (): (None, None), ("query",): (None, None)}
 
 
 def test_forbid_extra(spark):
@@ -92,3 +92,12 @@ def test_boolean_text(spark, make_events, value):
     texts = to_messages(make_events([{}])).withColumn("value", F.regexp_replace("value", '"queued":false', f'"queued":"{value}"'))
     typed = validate.typed_message(validate.decode_json(texts, validate.text_schema(CANONICAL_COLS)))
     assert typed.first()["queued"] is True
+
+
+def test_message_is_parsed_once(spark):
+    from tidegauge.streaming import rows
+
+    df = spark.createDataFrame([("{}",)], "value string")
+    for clean in (rows.stream_clean, rows.stream_canonical):
+        plan = clean(df)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegauge.functions.scores import baseline_score
-from tidegauge.operators.ordered import RANGE_COL, scan_ranges
+from tidegauge.operators.ordered import RANGE_COL, scan_ranges, total_order
 from tidegauge.storage import write_and_read
 
 DEFAULT_ALPHA = 0.05
@@ -122,10 +122,9 @@ def baselines_and_state(
     measures = default_measures() if measures is None else measures
     names = list(measures)
     xs = {f"_x_{n}": m.cast("double") for n, m in measures.items()}
-    rest = [c for c in df.columns if c != key and c not in order]
     scanned = scan_ranges(
         df.withColumns(xs),
-        [F.col(c).asc_nulls_last() for c in (key, *order, *rest)],
+        total_order(df, [key, *order]),
         _scan_from_zero(key, names, alpha),
         [T.StructField("_place", T.LongType()), *[T.StructField(f"_p_{n}", T.DoubleType()) for n in names]],
         "baselines",
@@ -174,8 +173,8 @@ def ewma_baselines(
 ) -> DataFrame:
     """Add ``<name>_baseline`` per measure, the current row included.
 
-    Rows of a key follow ``order``, then the remaining columns, so the result
-    does not depend on the input's layout. ``state`` (key and one
+    Rows of a key follow ``order``; the result does not depend on the input's
+    layout. ``state`` (key and one
     ``<name>_baseline`` each) continues earlier rows, as a stream does between
     its batches. ``key`` must not be null.
     """

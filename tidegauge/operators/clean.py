@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegauge.functions import numbers, scores, text, times
+from tidegauge.operators.validate import computed_once
 from tidegauge.schema import (
     ALIASES,
     CANONICAL_COLS,
@@ -37,7 +38,8 @@ def resolve_aliases(
     names an array column that lists each row's own keys.
     """
     present = df.columns
-    return df.select(*keep, *[_pick(present, field, present_keys).alias(field) for field in ALIASES])
+    picked = [*keep, *[_pick(present, field, present_keys).alias(field) for field in ALIASES]]
+    return df.select(*picked) if present_keys is None else computed_once(df, picked)
 
 
 def _pick(present: Sequence[str], field: str, present_keys: str | None) -> Column:
@@ -158,16 +160,20 @@ def clean_resolved(
     formats: tuple[str, ...] = (),
     keep: Sequence[str] = (),
     times_given: bool = True,
+    from_messages: bool = False,
 ) -> DataFrame:
     """``clean_enrich`` for rows that bear the canonical names already.
 
     ``keep`` names further columns to carry through. ``times_given=False``
-    says that start and end are derived in every row.
+    says that start and end are derived in every row, ``from_messages=True``
+    that all columns had to be decoded anyway, see ``computed_once``.
     """
     df = normalize_deployment(normalize_strings(require_query_id(df), rules), rules)
     df = parse_timestamps(df, formats)
-    df = coerce_floats(coerce_ints(df))
-    df = derive_start_end(clip_non_negative(fill_numeric(df, rules), rules))
+    df = clip_non_negative(fill_numeric(coerce_floats(coerce_ints(df)), rules), rules)
+    if from_messages:
+        df = computed_once(df, df.columns)
+    df = derive_start_end(df)
     if times_given or not rules.clip_durations:
         df = enforce_time_order(df, rules)
     df = enrich_queued(enrich_spill_pressure(enrich_duration(df, rules), rules), rules)

@@ -26,6 +26,14 @@ _ROW_BITS = 33
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+def total_order(df: DataFrame, by: Sequence[str]) -> list[Column]:
+    """Order by the columns ``by``, nulls last; rows equal there follow a hash
+    of their other columns, so that only exact copies are interchangeable."""
+    rest = [c for c in df.columns if c not in by]
+    ties = [F.xxhash64(*rest)] if rest else []
+    return [*[F.col(c).asc_nulls_last() for c in by], *ties]
+
+
 def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``df`` in global order, each row with the number of its range."""
     return df.orderBy(*order).withColumn(RANGE_COL, F.spark_partition_id())

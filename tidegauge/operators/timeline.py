@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidegauge.functions import times
-from tidegauge.operators.ordered import RANGE_COL, scan_ranges
+from tidegauge.operators.ordered import RANGE_COL, scan_ranges, total_order
 from tidegauge.storage import write_and_read
 
 
@@ -71,12 +71,11 @@ def _gaps_in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def replay_delay(df: DataFrame, factor: float, event_time: str = "arrival_timestamp") -> DataFrame:
     """``delay_seconds`` to wait before each row when replaying in time order.
 
-    Order is event time, then query id, then the remaining columns.
+    Order is event time, then query id.
     """
     if factor <= 0:
         raise ValueError("factor must be > 0")
-    rest = [c for c in df.columns if c not in (event_time, "query_id")]
-    order = [F.col(c).asc_nulls_last() for c in (event_time, "query_id", *rest)]
+    order = total_order(df, [event_time, "query_id"])
     stamped = df.withColumn("_at", F.unix_micros(event_time))
     scanned = scan_ranges(
         stamped, order, _gaps_in_range, [T.StructField("_previous", T.LongType())], "replay"

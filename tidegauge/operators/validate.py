@@ -32,6 +32,17 @@ RAW_MESSAGE = text_schema(
 )
 
 
+def computed_once(df: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
+    """``select``, but a later filter is not moved below it.
+
+    Catalyst writes a selected expression into every condition that a filter
+    sets on it, and so would decode and convert a message once per condition.
+    A generator's output is computed once; all columns are, so this is for
+    rows that come from messages, where no column can be left unread anyway.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def decode_json(
     df: DataFrame, schema: T.StructType = RAW_MESSAGE, value_col: str = "value", keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -40,13 +51,15 @@ def decode_json(
     ``_keys`` lists the names the message really had, which tells an explicit
     null from an absent field.
     """
-    value = F.col(value_col).cast("string")
-    decoded = df.select(
-        *keep,
-        F.from_json(value, schema, {"mode": "PERMISSIVE"}).alias("_row"),
-        F.json_object_keys(value).alias(KEYS_COL),
-    ).filter(F.col(KEYS_COL).isNotNull())
-    return decoded.select(*keep, "_row.*", KEYS_COL)
+    text = F.col(value_col).cast("string")
+    objects = df.filter(text.rlike(r"^\s*\{")).select(
+        *keep, text.alias("_value"), F.json_object_keys(text).alias(KEYS_COL)
+    )
+    # An object reads as an array of one row; see ``computed_once``.
+    rows = T.ArrayType(T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())]))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    decoded = objects.select(*keep, KEYS_COL, F.inline(F.from_json("_value", rows, options)))
+    return decoded.filter(F.col("_corrupt").isNull()).select(*keep, *schema.fieldNames(), KEYS_COL)
 
 
 def forbid_extra(
@@ -64,7 +77,7 @@ def typed_message(df: DataFrame) -> DataFrame:
     Text that is no value of its type becomes null and so fails validation;
     a whole number may be written as ``5`` or ``5.0``.
     """
-    return df.select(*[_typed(field).alias(field.name) for field in CANONICAL])
+    return computed_once(df, [_typed(field).alias(field.name) for field in CANONICAL])
 
 
 def _typed(field: T.StructField) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidegauge.operators.ordered import first_in_order
+from tidegauge.operators.ordered import first_in_order, total_order
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -68,8 +68,7 @@ def limit_events(df: DataFrame, max_events: int | None) -> DataFrame:
         return df
     if max_events <= 0:
         raise ValueError("max_events must be > 0")
-    rest = [c for c in df.columns if c not in ("arrival_timestamp", "query_id")]
-    order = [F.col(c).asc_nulls_last() for c in ("arrival_timestamp", "query_id", *rest)]
+    order = total_order(df, ["arrival_timestamp", "query_id"])
     if max_events <= _TOP_K_ROWS:
         return df.orderBy(*order).limit(max_events)
     return first_in_order(df, order, max_events)

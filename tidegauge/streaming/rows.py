@@ -41,7 +41,7 @@ def stream_clean(messages: DataFrame, rules: CleaningRules = CleaningRules()) ->
         }
     )
     resolved = resolve_aliases(typed, KEYS_COL, ["dataset_type"])
-    return clean_resolved(resolved, rules, keep=["dataset_type"])
+    return clean_resolved(resolved, rules, keep=["dataset_type"], from_messages=True)
 
 
 def stream_canonical(messages: DataFrame) -> DataFrame:

@@ -76,3 +76,9 @@ def test_unknown_column(spark):
         dedup.dedup_ttl(rows_of(spark, []), ["nope"])
     with pytest.raises(ValueError):
         DedupRules(ttl_seconds=0)
+
+
+def test_rows_that_are_all_key(spark):
+    df = rows_of(spark, [("a", 0, 1), ("a", 0, 1), ("b", 0, 1)]).select("query_id", "arrival_timestamp")
+    assert dedup.dedup_exact(df).count() == 2
+    assert dedup.dedup_ttl(df, ["query_id"]).count() == 2

@@ -9,6 +9,7 @@ import argparse
 import math
 import sys
 import time
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -32,11 +33,10 @@ def canonical(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
     def value(v):
-        if isinstance(v, float):
-            return "nan" if math.isnan(v) else round(v, 5) + 0.0
-        return v
+        # NaN equals NaN, and 0.0 equals -0.0.
+        return ("nan" if math.isnan(v) else v + 0.0) if isinstance(v, float) else v
 
-    return sorted((tuple(value(r[i]) for i in order) for r in rows), key=repr)
+    return Counter(tuple(value(r[i]) for i in order) for r in rows)
 
 
 def difference(spark, con, query, sql: str, sf_dir: str) -> str | None:
@@ -52,15 +52,11 @@ def difference(spark, con, query, sql: str, sf_dir: str) -> str | None:
     if len(got) != len(want):
         return f"{len(got)} rows, SQL has {len(want)}"
     a, b = canonical(got, df.columns), canonical(want, names)
-    for x, y in zip(a, b):
-        same = all(
-            math.isclose(p, q, rel_tol=1e-9, abs_tol=2e-5)
-            if isinstance(p, float) and isinstance(q, float)
-            else p == q and type(p) is type(q)
-            for p, q in zip(x, y)
-        )
-        if not same:
-            return f"{sorted(names)}\n  spark {x}\n  sql   {y}\n  {types}"
+    if a != b:
+        only_a, only_b = sorted(a - b, key=repr), sorted(b - a, key=repr)
+        return f"{len(only_a)} rows differ, {sorted(names)}\n  spark {only_a[:2]}\n  sql   {only_b[:2]}\n  {types}"
+    if any(type(p) is not type(q) for p, q in zip(max(a, key=repr, default=()), max(b, key=repr, default=()))):
+        return "types differ"
     return None
 
 

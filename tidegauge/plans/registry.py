@@ -13,24 +13,24 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to 6 decimals, timestamps without zone, as in the SQL results."""
+def comparable(df: DataFrame, decimals: int) -> DataFrame:
+    """Rounded doubles, timestamps without zone, as in the SQL results."""
     cols = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
+            c = F.round(c, decimals)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def register(name: str, sql: str | None = None, decimals: int = 6) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(spark, sf_dir))
+            return comparable(fn(spark, sf_dir), decimals)
 
         QUERIES[name] = run
         if sql is not None:

@@ -87,9 +87,13 @@ def _block_masks(blocks: int) -> list[int]:
     return [((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:])]
 
 
-def _balls(radius: int) -> list[int]:
-    """All changes of at most ``radius`` bits."""
-    return [_signed(sum(1 << b for b in bits)) for n in range(radius + 1) for bits in combinations(range(64), n)]
+def _ball(radius: int) -> Column:
+    """A constant array of all changes of at most ``radius`` bits."""
+    ball = "array(0L)"
+    for _ in range(radius):
+        wider = f"flatten(transform({ball}, c -> transform(sequence(0, 63), i -> c ^ shiftleft(1L, i))))"
+        ball = f"array_union({ball}, {wider})"
+    return F.expr(ball)
 
 
 def _distance(a: Column, b: Column) -> Column:
@@ -144,8 +148,7 @@ def hamming_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     ).select(F.col("x.fingerprint").alias("a"), F.col("y.fingerprint").alias("b"))
 
     crowded = shared.filter(F.col("n") > crowd).select("fingerprint").distinct()
-    around = F.array(*[F.lit(v) for v in _balls(radius // 2)])
-    points = crowded.select("fingerprint", F.explode(around).alias("change")).select(
+    points = crowded.select("fingerprint", F.explode(_ball(radius // 2)).alias("change")).select(
         "fingerprint", F.col("fingerprint").bitwiseXOR(F.col("change")).alias("point")
     )
     met = points.join(points.groupBy("point").agg(F.min("fingerprint").alias("least")), "point").filter(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, near_dedup, urls
+from tidegauge.llm import chat, near_dedup, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,28 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, deciding rule and verdict of every page's URL."""
     judged = urls.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "url_verdict.*")
+
+
+def _remainder(divisor: int) -> F.Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
+
+
+def _scored(docs: DataFrame, held_out: F.Column, score: F.Column) -> DataFrame:
+    scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
+@_query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit_quality(docs, labels.filter(_remainder(4) != 2))
+    return _scored(docs, _remainder(4) == 2, quality.quality_score(model, F.col("text")))
+
+
+@_query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels.filter(_remainder(3) != 1))
+    return _scored(docs, _remainder(3) == 1, toxicity.toxicity_score(docs, model, F.col("text")))

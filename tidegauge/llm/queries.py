@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, near_dedup, quality, toxicity, urls
+from tidegauge.llm import chat, near_dedup, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,3 +128,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     model = toxicity.fit_toxicity(docs, labels.filter(_remainder(3) != 1))
     return _scored(docs, _remainder(3) == 1, toxicity.toxicity_score(docs, model, F.col("text")))
+
+
+@_query()
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of plain identifiers, their digest, and all spans of every document."""
+    found = _table(spark, sf_dir, "documents").select("doc_id", pii.pii_spans("text").alias("found"))
+    plain = F.filter("found", lambda s: ~s["disguised"])
+    counts = [
+        F.size(F.filter("found", lambda s, k=k: ~s["disguised"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}")
+        for k in pii.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.span_list(plain), 256).alias("base_sha256"), pii.span_list(F.col("found")).alias("spans")
+    )

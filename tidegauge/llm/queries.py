@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, near_dedup, pii, quality, toxicity, urls
+from tidegauge.llm import chat, near_dedup, packing, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,3 +142,18 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.span_list(plain), 256).alias("base_sha256"), pii.span_list(F.col("found")).alias("spans")
     )
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 2048 ids."""
+    pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, near_dedup, packing, pii, quality, toxicity, urls
+from tidegauge.llm import chat, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,3 +157,9 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@_query()
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, with likenesses."""
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))

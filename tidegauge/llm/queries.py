@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
+from tidegauge.llm import chat, decontaminate, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -163,3 +163,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, with likenesses."""
     return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, exactly or nearly, with the item."""
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "hamming", "first_shingle", "shingles")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, decontaminate, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
+from tidegauge.llm import chat, decontaminate, extraction, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, exactly or nearly, with the item."""
     found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "hamming", "first_shingle", "shingles")
+
+
+@_query()
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract_text(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )

@@ -135,10 +135,12 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of plain identifiers, their digest, and all spans of every document."""
     found = _table(spark, sf_dir, "documents").select("doc_id", pii.pii_spans("text").alias("found"))
     plain = F.filter("found", lambda s: ~s["disguised"])
-    counts = [
-        F.size(F.filter("found", lambda s, k=k: ~s["disguised"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}")
-        for k in pii.KINDS
-    ]
+
+    def count(kind: str) -> F.Column:
+        own = F.filter("found", lambda s: ~s["disguised"] & (s["kind"] == kind))
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(pii.span_list(plain), 256).alias("base_sha256"), pii.span_list(F.col("found")).alias("spans")
     )

@@ -1,0 +1,53 @@
+import pytest
+from pyspark.sql import types as T
+
+DOCS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents out of (id, text) pairs; ``more`` adds columns whose names operators use inside."""
+
+    def make(rows, more=False):
+        full = [(i, t, None, "s", None if t is None else len(t)) for i, t in rows]
+        docs = spark.createDataFrame(full, DOCS)
+        if more:
+            for name in ("key", "row", "n", "fingerprint", "score", "place", "bucket", "component", "row_key", "quality_score", "item", "s", "_h"):
+                docs = docs.selectExpr("*", f"'x' AS {name}")
+        return docs
+
+    return make
+
+
+EDGE = [
+    (1, None),
+    (2, ""),
+    (3, "   \n\t "),
+    (4, "one"),
+    (4, "one"),
+    (5, "same text of some words here"),
+    (6, "same text of some words here"),
+    (None, "no id but a text of a few words"),
+    (None, None),
+    (7, "long " * 60_000),
+    (8, "x" * 200_000),
+    (9, "Ünïcödé 文字 \x00 �"),
+]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(make_docs):
+    return make_docs(EDGE, more=True)
+
+
+@pytest.fixture(scope="session")
+def no_docs(make_docs):
+    return make_docs([], more=True)

@@ -1,0 +1,63 @@
+import pytest
+
+from tidegauge.llm import extraction as X
+
+
+def text(source):
+    return X.main_text(X.parse(source))
+
+
+@pytest.mark.parametrize(
+    "source, want",
+    [
+        ("<article><h1>T &amp; x</h1><p>One<br>two <b>th</b>ree<p>four</article>", "T & x\n\nOne two three\n\nfour"),
+        ("<body><nav>menu</nav><header>h</header><p>a  b\n c</p><footer>f</footer></body>", "a b c"),
+        ("<main><p>x</p><div class='ad'>buy</div><section id=comments><article>no</article></section></main>", "x"),
+        ("<div class='layout-sidebar'><article>kept</article></div>", "kept"),
+        ("<article>a<script>var t='</p>';</script>b<style>p{}</style></article>", "ab"),
+        ("<article>a<!-- <p>c</p> -->b &lt;i&gt; &#65;&eacute;</article>", "ab <i> Aé"),
+        ("<article><p>cut off <a href=\"/x", "cut off"),
+        ("<article><p>cut off &am", "cut off &am"),
+        ("<article><ul><li>i<li>j</ul><table><tr><td>1<td>2</table></article>", "i\n\nj\n\n1 2"),
+        ("<p>no body", "no body"),
+        ("</p></div>stray<p></b>tags", "stray\n\ntags"),
+        ("<article><form><p>f</p></form><div role=navigation>n</div><aside>s</aside>t</article>", "t"),
+        ("<article><div class='cookie-notice'>c</div><div class='adventure'>kept</div></article>", "kept"),
+        ("<article><img alt='a>b'>t</article>", "t"),
+        ("a < b and 3 > 2", "a < b and 3 > 2"),
+        ("", ""),
+        ("<script>unclosed", ""),
+    ],
+)
+def test_main_text(source, want):
+    assert text(source) == want
+
+
+def test_site_template_goes(spark):
+    box = "<div class='x1'>Join our club today</div>"
+    rows = [(i, f"http://a.com/{i}", f"<body><div class='t'>Site name</div><p>own text {i}</p><p>said by all</p></body>") for i in range(10)]
+    rows += [(100 + i, f"http://b.com/{i}", f"<article><p>same</p><p>own {i}</p>{box}</article>") for i in range(10)]
+    rows += [(200 + i, f"http://c.com/{i}", "<p>one page in copies</p>") for i in range(10)]
+    rows += [(300 + i, f"http://d{i}.com/", f"<p>same on other hosts</p><p>{i}</p>") for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in X.extract_text(pages).collect()}
+    assert got[3] == "own text 3"
+    assert got[103] == "same\n\nown 3"
+    assert got[203] == "one page in copies"
+    assert got[303] == "same on other hosts\n\n3"
+
+
+def test_edge_cases(spark):
+    rows = [(1, None, None), (2, "http://x.y/", ""), (3, None, "<p>a</p>"), (3, None, "<p>a</p>"), (None, "no", "<p>" + "w " * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "'y' AS host", "1 AS subtree", "2 AS page_host")
+    out = X.extract_text(pages, out_col="main")
+    assert out.columns == ["page_id", "url", "text", "host", "subtree", "page_host", "main"]
+    got = sorted(((r.page_id, r.main[:3], r.host) for r in out.collect()), key=repr)
+    assert got == sorted([(1, "", "y"), (2, "", "y"), (3, "a", "y"), (3, "a", "y"), (None, "w w", "y")], key=repr)
+    assert X.extract_text(pages.limit(0), out_col="main").count() == 0
+
+
+def test_deep_nesting_and_stray_marks():
+    assert text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
+    assert text("<" * 20_000).startswith("<")
+    assert text("<p '" * 2_000) is not None

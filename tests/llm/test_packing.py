@@ -1,0 +1,85 @@
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tidegauge.llm import packing as P
+from tidegauge.llm.queries import vocabulary_path
+
+
+@pytest.fixture(scope="module")
+def path():
+    return vocabulary_path()
+
+
+TEXTS = [
+    "Hello  World's 123!! é À don't we'll I'D",
+    "<|endoftext|> x <|startoftext|>",
+    "日本語 テキスト Ünïcödé İstanbul ΑΣ ﬁ ½ ² ª",
+    "a b​c\u0085d\x1ce",
+    "snake_case __init__ a_b 'sabc ''s 's",
+    "THERHAOU!! OUSHED,!! thnd*** iner### (a|b) 3,14 1st",
+    "x" * 5000,
+    "\t\r\n",
+]
+
+
+def test_tokenizer_equals_the_library(path):
+    library, own = Tokenizer.from_file(path), P.WordTokenizer(path, keep=5)
+    for text in TEXTS:
+        assert own.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_curve_moves_one_step_at_a_time(dimensions, bits):
+    cells = np.indices([1 << bits] * dimensions).reshape(dimensions, -1).T
+    keys = P.hilbert_keys(cells, bits)
+    assert sorted(keys) == list(range(len(cells)))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+def check(docs, path, sequence):
+    library = Tokenizer.from_file(path)
+    pieces = P.pack_documents(docs, path, sequence=sequence).collect()
+    rows = [(r.doc_id, library.encode(r.text or "", add_special_tokens=False).ids + [P.END_ID]) for r in docs.collect()]
+    # The pieces make up all sequences without gaps, all but the last one full.
+    by_place = sorted(pieces, key=lambda p: (p.sequence_id, p.offset))
+    at = 0
+    for p in by_place:
+        assert (p.sequence_id, p.offset) == divmod(at, sequence) and p.length == len(p.ids) // 4 > 0
+        at += p.length
+    assert at == sum(len(ids) for _, ids in rows)
+    # Read along the sequences, the documents come out whole.
+    got, open_ = [], None
+    for p in by_place:
+        ids = np.frombuffer(p.ids, "<u4").tolist()
+        if p.start == 0:
+            assert open_ is None
+            open_ = (p.doc_id, [])
+        assert open_[0] == p.doc_id and len(open_[1]) == p.start
+        open_[1].extend(ids)
+        if len(open_[1]) == p.doc_tokens:
+            got.append(open_)
+            open_ = None
+    assert open_ is None and sorted(map(repr, got)) == sorted(map(repr, rows))
+
+
+@pytest.mark.parametrize("sequence", [2048, 7])
+def test_every_id_in_one_piece(make_docs, path, sequence):
+    draw = np.random.default_rng(5)
+    rows = [(i, " ".join("w%d" % x for x in draw.integers(0, 90, draw.integers(0, 120)))) for i in range(60)]
+    check(make_docs(rows, more=True), path, sequence)
+
+
+def test_edge_cases(edge_docs, no_docs, path):
+    check(edge_docs, path, 2048)
+    assert P.pack_documents(no_docs, path).count() == 0
+
+
+def test_neighbours_share_sequences(make_docs, path):
+    kinds = [" ".join(["alpha beta gamma"] * 30), " ".join(["uno dos tres"] * 30), " ".join(["eins zwei drei"] * 30)]
+    docs = make_docs([(i, kinds[i % 3]) for i in range(60)])
+    pieces = P.pack_documents(docs, path, sequence=400).collect()
+    kind_of = {i: i % 3 for i in range(60)}
+    mixed = sum(len({kind_of[p.doc_id] for p in pieces if p.sequence_id == s}) > 1 for s in {p.sequence_id for p in pieces})
+    assert mixed <= 2

@@ -109,6 +109,11 @@ def _remainder(divisor: int) -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
 
 
+def training_rows(labels: DataFrame) -> DataFrame:
+    """The labels that the quality model may learn from."""
+    return labels.filter(_remainder(4) != 2)
+
+
 def _scored(docs: DataFrame, held_out: F.Column, score: F.Column) -> DataFrame:
     scored = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
@@ -118,7 +123,7 @@ def _scored(docs: DataFrame, held_out: F.Column, score: F.Column) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    model = quality.fit_quality(docs, labels.filter(_remainder(4) != 2))
+    model = quality.fit_quality(docs, training_rows(labels))
     return _scored(docs, _remainder(4) == 2, quality.quality_score(model, F.col("text")))
 
 

@@ -78,3 +78,68 @@ def test_zero_baseline_scores_the_value_itself(make_events):
 def test_alpha_is_checked(spark):
     with pytest.raises(ValueError):
         baselines.ewma_baselines(spark.createDataFrame([], SCHEMA), alpha=0.0)
+
+
+INF = float("inf")
+
+
+def loop_values(values, alpha):
+    out = []
+    for x in values:
+        out.append(x if not out else alpha * x + (1 - alpha) * out[-1])
+    return out
+
+
+@pytest.mark.parametrize("at, value", [(0, INF), (1, INF), (150, INF), (150, -INF), (299, INF)])
+@pytest.mark.parametrize("alpha", [0.05, 0.999])
+def test_infinite_measures(spark, at, value, alpha):
+    values = [float(i % 7) for i in range(300)]
+    values[at] = value
+    data = [("k", T0 + timedelta(seconds=i), f"q{i}", x) for i, x in enumerate(values)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "32")
+    try:
+        got, after = run(spark.createDataFrame(data, SCHEMA), alpha)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = loop_values(values, alpha)
+    assert [got["k", f"q{i}"] for i in range(300)] == pytest.approx(want)
+    assert after.first()["x_baseline"] == pytest.approx(want[-1])
+
+
+def test_infinite_state_stays(spark):
+    state = spark.createDataFrame([("k", INF)], "dataset_type string, x_baseline double")
+    data = [("k", T0 + timedelta(seconds=i), f"q{i}", 1.0) for i in range(50)]
+    got, after = run(spark.createDataFrame(data, SCHEMA), 0.999999, state)
+    assert set(got.values()) == {INF} and after.first()["x_baseline"] == INF
+
+
+def test_a_null_key_is_a_key(spark):
+    data = [(k, T0 + timedelta(seconds=i), f"q{i}", float(i)) for i in range(40) for k in ([None] if i % 2 else ["k"])]
+    frame = spark.createDataFrame(data, SCHEMA)
+    got, after = run(frame, 0.5)
+    want = dict(zip([q for k, _, q, _ in data if k is None], loop_values([x for k, _, _, x in data if k is None], 0.5)))
+    assert {q: v for (k, q), v in got.items() if k is None} == pytest.approx(want) and len(got) == 40
+    again, _ = run(frame, 0.5, after)
+    assert len(again) == 40
+
+
+def test_rows_equal_but_for_other_columns(spark):
+    rows = [("k", T0, "q", 1.0, i) for i in range(50)]
+    frame = spark.createDataFrame(rows, SCHEMA + ", other int")
+    once, again = (
+        {r["other"]: r["x_baseline"] for r in baselines.ewma_baselines(f, measures={"x": F.col("x")}).collect()}
+        for f in (frame, frame.repartition(6))
+    )
+    assert once == again and len(once) == 50
+    slim = baselines.ewma_baselines(frame, measures={"x": F.col("x")}, keep=["query_id"])
+    assert slim.columns == ["query_id", "x_baseline"] and slim.count() == 50
+
+
+def test_nothing_is_written(spark):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = sorted(os.walk(base))
+    data = [("k", T0 + timedelta(seconds=i), f"q{i}", 1.0) for i in range(50)]
+    run(spark.createDataFrame(data, SCHEMA), 0.5)
+    assert sorted(os.walk(base)) == before

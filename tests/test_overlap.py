@@ -88,3 +88,14 @@ def test_nothing(make_events):
 def test_plan_has_no_join(make_events):
     plan = overlap.overlap_rollup_deployment(make_events([{}]))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
+
+
+def test_a_query_of_many_years(make_events):
+    from tidegauge.operators.timeline import time_spine
+
+    end = datetime(2040, 1, 1)
+    events = make_events([{"arrival_timestamp": T0, "execution_start_time": T0, "execution_end_time": end} for _ in range(3)])
+    buckets = -((T0 - end) // timedelta(minutes=5))
+    met = overlap.overlap_rollup_deployment(events.limit(1), origin=T0)
+    assert met.count() == buckets
+    assert time_spine(events).count() == buckets

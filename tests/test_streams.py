@@ -88,6 +88,24 @@ def test_dedup_across_restarts_and_late_rows(spark, make_events, feed):
     same(got, dedup.dedup_ttl(on_time))
 
 
+@pytest.mark.parametrize("cut", [[8], [3, 3, 2], [1] * 8])
+def test_dedup_by_sessions_however_batches_are_cut(spark, make_events, feed, cut):
+    # The limit itself is a repeat, and a repeat starts the time anew; the last row closes all sessions.
+    times = [("a", 0), ("b", 0), ("a", 3600), ("a", 7200), ("b", 3601), ("a", 10_801), ("b", 3_700), ("z", 100_000)]
+    events = [at(s, query_id=q, scanned_mb=float(i)) for i, (q, s) in enumerate(times)]
+    batches, done = [], 0
+    for n in cut:
+        batches.append(make_events(events[done : done + n]))
+        done += n
+    batches.append(make_events([at(300_000, query_id="end")]))
+    batches.append(make_events([at(0, query_id="late")]))
+    base = feed(batches, lambda s, b: append(stream_rows.stream_dedup(s, ["query_id"], 3600, "3 hours"), b))
+    got = spark.read.parquet(f"{base}/out").filter("query_id NOT IN ('end')")
+    want = dedup.dedup_ttl(make_events(events), ["query_id"], 3600)
+    same(got.select(*want.columns), want)
+    assert "late" not in [r["query_id"] for r in got.collect()]
+
+
 @pytest.mark.parametrize("kind, fn", [
     ("minute", rollups.rollup_minute), ("5min", rollups.rollup_5min),
     ("system", rollups.system_metrics_5min), ("instance", rollups.instance_metrics_5min),

@@ -103,19 +103,24 @@ def test_nulls_last(spark):
     assert tables.scan_event_time_order(df).collect()[-1][0] is None
 
 
-def test_limit_events_both_ways(make_events, monkeypatch):
+def test_limit_events(make_events):
     rnd = random.Random(1)
     events = make_events([{"query_id": f"q{i}", "arrival_timestamp": T0 + timedelta(seconds=rnd.randrange(50))} for i in range(300)]).repartition(5)
-    ids = lambda df: sorted(r["query_id"] for r in df.collect())
-    small = ids(tables.limit_events(events, 120))
-    monkeypatch.setattr(tables, "_TOP_K_ROWS", 10)
-    assert ids(tables.limit_events(events, 120)) == small and len(small) == 120
-    assert len(ids(tables.limit_events(events, 999))) == 300
+    rows = sorted((r["arrival_timestamp"], r["query_id"]) for r in events.collect())
+    for n in (1, 120, 999):
+        got = [(r["arrival_timestamp"], r["query_id"]) for r in tables.limit_events(events, n).collect()]
+        assert got == rows[:n]
     assert tables.limit_events(events, None).count() == 300
     with pytest.raises(ValueError):
         tables.limit_events(events, 0)
 
 
+def test_limit_events_beyond_any_top_k(spark):
+    events = spark.range(150_000).selectExpr("timestamp_micros(id * 7919 % 150000) AS arrival_timestamp", "cast(id AS string) AS query_id")
+    got = [r[0] for r in tables.limit_events(events.repartition(4), 120_000).select(F.unix_micros("arrival_timestamp")).collect()]
+    assert got == list(range(120_000))
+
+
 def test_union_typed_sources(make_events):
     left, right = make_events([{}]), make_events([{}, {}]).drop("instance_id")
     got = tables.union_typed_sources({"provisioned": left, "serverless": right})

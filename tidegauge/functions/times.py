@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, functions as F, types as T
 
 # Later instants are treated as invalid.
@@ -10,6 +12,13 @@ _YEAR_FIRST = r"^\s*[+-]?\d{4}"
 _FAR_FUTURE = 2**63 - 1
 
 
+def instant(value: Column | dt.datetime | str) -> Column:
+    """A literal instant; a text or value without zone is UTC, wherever the driver runs."""
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        value = value.replace(tzinfo=dt.timezone.utc)
+    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
+
+
 def int_div(a: Column, b: Column | int) -> Column:
     """Integer division, truncating."""
     return F.call_function("div", a, b if isinstance(b, Column) else F.lit(b))

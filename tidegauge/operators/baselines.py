@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegauge.functions.scores import baseline_score
-from tidegauge.operators.ordered import RANGE_COL, scan_ranges, total_order
-from tidegauge.storage import write_and_read
+from tidegauge.operators.ordered import RANGE_COL, cut_ranges, scan_ranges
 
 DEFAULT_ALPHA = 0.05
 
@@ -46,33 +45,57 @@ def default_measures() -> dict[str, Column]:
     }
 
 
+def _from_zero(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, alpha: float) -> np.ndarray:
+    """The recurrence over runs of rows, each from its seed.
+
+    Finite values are smoothed with infinite ones as 0. From its first infinite
+    value on a run is infinite, and no number after both infinities or a NaN.
+    """
+    finite = np.isfinite(values)
+    whole = bool(finite.all()) and bool(np.isfinite(seeds).all())
+    # One seed row ahead of each run, taken out again afterwards.
+    seeded = np.insert(values if whole else np.where(finite, values, 0.0), starts, np.where(np.isfinite(seeds), seeds, 0.0), axis=0)
+    run = np.repeat(np.arange(len(starts)), lengths + 1)
+    smooth = pd.DataFrame(seeded).groupby(run).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+    smooth = np.delete(smooth, starts + np.arange(len(starts)), axis=0)
+    if not whole:
+        odd = np.insert(np.where(finite, 0.0, values), starts, np.where(np.isfinite(seeds), 0.0, seeds), axis=0)
+        with np.errstate(invalid="ignore"):
+            smooth = smooth + np.delete(_running_sums(odd, run), starts + np.arange(len(starts)), axis=0)
+    return smooth
+
+
+def _running_sums(values: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Sums of each run's rows so far; infinities and NaN stay."""
+    out = np.empty_like(values)
+    bounds = [*np.flatnonzero(np.diff(run, prepend=-1)), len(run)]
+    for a, b in zip(bounds, bounds[1:]):
+        np.cumsum(values[a:b], axis=0, out=out[a:b])
+    return out
+
+
 def _scan_from_zero(key: str, names: Sequence[str], alpha: float):
     """Per range: position within the key's run, and the recurrence from 0."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, last_place = None, 0
+        begun, last_key, last_place = False, None, 0
         last = np.zeros(len(names))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             keys = batch.column(key).to_numpy(zero_copy_only=False)
-            values = np.column_stack([batch.column(f"_x_{n}").to_numpy() for n in names])
+            values = np.column_stack([batch.column(f"_x_{n}").to_numpy(zero_copy_only=False) for n in names]).astype(float)
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             lengths = np.diff(np.append(starts, len(keys)))
-            goes_on = last_key is not None and keys[0] == last_key
 
             place = np.arange(len(keys)) - np.repeat(starts, lengths) + 1
             seeds = np.zeros((len(starts), len(names)))
-            if goes_on:
+            if begun and keys[0] == last_key:
                 place[: lengths[0]] += last_place
                 seeds[0] = last
-            # One seed row ahead of each run, taken out again afterwards.
-            seeded = pd.DataFrame(np.insert(values, starts, seeds, axis=0))
-            run = np.repeat(np.arange(len(starts)), lengths + 1)
-            smooth = seeded.groupby(run).ewm(alpha=alpha, adjust=False).mean().to_numpy()
-            smooth = np.delete(smooth, starts + np.arange(len(starts)), axis=0)
+            smooth = _from_zero(values, starts, lengths, seeds, alpha)
 
-            last_key, last_place, last = keys[-1], int(place[-1]), smooth[-1]
+            begun, last_key, last_place, last = True, keys[-1], int(place[-1]), smooth[-1]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(place, pa.int64()), *[pa.array(c) for c in smooth.T]],
                 [*batch.schema.names, "_place", *[f"_p_{n}" for n in names]],
@@ -90,11 +113,13 @@ def _carry_over(key: str, names: Sequence[str], alpha: float):
         value = ranges[[f"_s_{n}" for n in names]].iloc[0].to_numpy(dtype=float)
         # Without a stored value start at the first x: a x + (1 - a) x = x.
         first = ranges[[f"_x_{n}" for n in names]].iloc[0].to_numpy(dtype=float)
-        value = np.where(np.isnan(value), first, value)
+        value = np.where(ranges["_known"].iloc[0], value, first)
         ends = ranges[[f"_p_{n}" for n in names]].to_numpy(dtype=float)
         for size, end in zip(ranges["_size"], ends):
             before.append(value)
-            value = end + (1.0 - alpha) ** size * value
+            decay = (1.0 - alpha) ** size
+            with np.errstate(invalid="ignore"):
+                value = end + np.where(np.isfinite(value), decay * np.where(np.isfinite(value), value, 0.0), value)
         # The value after the last range goes under the null range.
         before.append(value)
         out = pd.DataFrame(before, columns=[f"_c_{n}" for n in names])
@@ -112,6 +137,7 @@ def baselines_and_state(
     alpha: float = DEFAULT_ALPHA,
     order: Sequence[str] = ("arrival_timestamp", "query_id"),
     state: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``ewma_baselines``, and the baselines after the last row of each key.
 
@@ -121,26 +147,31 @@ def baselines_and_state(
         raise ValueError("alpha must be above 0 and at most 1")
     measures = default_measures() if measures is None else measures
     names = list(measures)
-    xs = {f"_x_{n}": m.cast("double") for n, m in measures.items()}
-    scanned = scan_ranges(
-        df.withColumns(xs),
-        total_order(df, [key, *order]),
-        _scan_from_zero(key, names, alpha),
-        [T.StructField("_place", T.LongType()), *[T.StructField(f"_p_{n}", T.DoubleType()) for n in names]],
-        "baselines",
-    )
-
-    # At most one row per range plus one per key, however hot a key is.
-    summary = scanned.groupBy(key, RANGE_COL).agg(
+    keep = list(df.columns if keep is None else keep)
+    by = [key, *order]
+    xs = [m.cast("double").alias(f"_x_{n}") for n, m in measures.items()]
+    measured = df.select(*dict.fromkeys([*keep, *by]), *xs)
+    # Rows equal in all of these are interchangeable here, so no other column is read for the order.
+    ties = [f"_x_{n}" for n in names]
+    ranges = cut_ranges(measured, by, ties)
+    step = _scan_from_zero(key, names, alpha)
+    added = [T.StructField("_place", T.LongType()), *[T.StructField(f"_p_{n}", T.DoubleType()) for n in names]]
+
+    # First pass, narrow: at most one row per range plus one per key, however hot a key is.
+    narrow = scan_ranges(measured.select(*dict.fromkeys([*by, *ties])), ranges, step, added)
+    summary = narrow.groupBy(key, RANGE_COL).agg(
         F.max("_place").alias("_size"),
         *[F.min_by(f"_x_{n}", "_place").alias(f"_x_{n}") for n in names],
         *[F.max_by(f"_p_{n}", "_place").alias(f"_p_{n}") for n in names],
     )
     if state is None:
-        summary = summary.withColumns({f"_s_{n}": F.lit(None).cast("double") for n in names})
+        summary = summary.withColumns({**{f"_s_{n}": F.lit(None).cast("double") for n in names}, "_known": F.lit(False)})
     else:
-        stored = state.select(key, *[F.col(f"{n}_baseline").alias(f"_s_{n}") for n in names])
-        summary = summary.join(stored, key, "left")
+        stored = state.select(
+            F.col(key).alias("_key"), F.lit(True).alias("_has"), *[F.col(f"{n}_baseline").alias(f"_s_{n}") for n in names]
+        )
+        summary = summary.join(stored, F.col(key).eqNullSafe(F.col("_key")), "left")
+        summary = summary.withColumn("_known", F.coalesce("_has", F.lit(False))).drop("_key", "_has")
     schema = T.StructType(
         [
             df.schema[key],
@@ -149,20 +180,28 @@ def baselines_and_state(
         ]
     )
     carried = summary.groupBy(key).applyInPandas(_carry_over(key, names, alpha), schema)
-    # Written, so that the planner sees its size and broadcasts it if small.
-    carried = write_and_read(carried, "baselines-carried")
 
-    decay = F.pow(F.lit(1.0 - alpha), F.col("_place"))
-    rows = scanned.join(carried, [key, RANGE_COL]).select(
-        *df.columns,
-        *[(F.col(f"_p_{n}") + decay * F.col(f"_c_{n}")).alias(f"{n}_baseline") for n in names],
+    # Second pass, with all columns: each range starts from what stood before it.
+    before = carried.filter(F.col(RANGE_COL).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(RANGE_COL).alias("_in"), *[f"_c_{n}" for n in names]
     )
+    scanned = scan_ranges(measured, ranges, step, added)
+    joined = scanned.join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.col(RANGE_COL) == F.col("_in")))
+    rows = joined.select(*keep, *[_continued(n, alpha).alias(f"{n}_baseline") for n in names])
     after = carried.filter(F.col(RANGE_COL).isNull()).select(
         key, *[F.col(f"_c_{n}").alias(f"{n}_baseline") for n in names]
     )
     return rows, after
 
 
+def _continued(name: str, alpha: float) -> Column:
+    """The recurrence from 0 plus what is left of the value before; infinities do not decay."""
+    before = F.col(f"_c_{name}")
+    lasting = F.isnan(before) | (F.abs(before) == float("inf"))
+    left = F.when(lasting, before).otherwise(F.pow(F.lit(1.0 - alpha), F.col("_place")) * before)
+    return F.col(f"_p_{name}") + left
+
+
 def ewma_baselines(
     df: DataFrame,
     key: str = "dataset_type",
@@ -170,15 +209,16 @@ def ewma_baselines(
     alpha: float = DEFAULT_ALPHA,
     order: Sequence[str] = ("arrival_timestamp", "query_id"),
     state: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``<name>_baseline`` per measure, the current row included.
 
     Rows of a key follow ``order``; the result does not depend on the input's
-    layout. ``state`` (key and one
-    ``<name>_baseline`` each) continues earlier rows, as a stream does between
+    layout. ``keep`` limits the columns carried along (default: all). ``state`` (key
+    and one ``<name>_baseline`` each) continues earlier rows, as a stream does between
     its batches. ``key`` must not be null.
     """
-    return baselines_and_state(df, key, measures, alpha, order, state)[0]
+    return baselines_and_state(df, key, measures, alpha, order, state, keep)[0]
 
 
 def baseline_scores(df: DataFrame) -> DataFrame:

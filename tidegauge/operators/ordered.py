@@ -1,27 +1,28 @@
 """Work that follows one global order of all rows.
 
 A window without PARTITION BY, or one over two or three keys, runs in as many
-tasks as there are keys. Here the rows are range-partitioned and sorted, which
-spreads even one hot key or hot minute over all tasks; each task scans its
-range once; and what a range needs from the ranges before it is worked out
-from one summary row per range.
-
-The scanned rows are written to the shared folder: a second evaluation could
-draw other range borders, and a lost executor must not change them.
+tasks as there are keys. Here the order is cut into ranges, which spreads even
+one hot key or hot minute over all tasks; each task scans its range once; and
+what a range needs from the ranges before it is worked out from one summary row
+per range.
+
+The borders of the ranges are taken from a sample once, when the query is built,
+and are constants of the plan. So every pass, and every repeated task, deals the
+rows out alike, and nothing has to be written in between.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
-
-from tidegauge.storage import write_and_read
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 RANGE_COL = "_range"
-# monotonically_increasing_id: partition number above, row number below bit 33.
-_ROW_BITS = 33
+ORDER_COL = "_order"
+#: Sampled rows per range; the borders come to the driver, and this many rows for each.
+SAMPLED = 20
 
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -29,33 +30,83 @@ Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 def total_order(df: DataFrame, by: Sequence[str]) -> list[Column]:
     """Order by the columns ``by``, nulls last; rows equal there follow a hash
     of their other columns, so that only exact copies are interchangeable."""
-    rest = [c for c in df.columns if c not in by]
-    ties = [F.xxhash64(*rest)] if rest else []
-    return [*[F.col(c).asc_nulls_last() for c in by], *ties]
-
+    return [*[F.col(c).asc_nulls_last() for c in by], *tie_break(df, by)]
 
-def sorted_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """``df`` in global order, each row with the number of its range."""
-    return df.orderBy(*order).withColumn(RANGE_COL, F.spark_partition_id())
 
-
-def scan_ranges(
-    df: DataFrame, order: Sequence[Column], step: Step, added: Sequence[T.StructField], label: str
-) -> DataFrame:
+def tie_break(df: DataFrame, by: Sequence[str]) -> list[Column]:
+    """What else to sort by after the columns ``by``: a hash of the other columns."""
+    rest = [c for c in df.columns if c not in by]
+    return [F.xxhash64(*rest)] if rest else []
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """A cut of the order by ``by``, then ``ties``, into ``len(borders) + 1`` ranges."""
+
+    by: tuple[str, ...]
+    ties: tuple[str, ...]
+    borders: tuple[tuple, ...]
+
+    def number(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``ORDER_COL``, the sort key, and ``RANGE_COL``, the range's number."""
+        keyed = df.withColumn(ORDER_COL, _order(df, self.by, self.ties))
+        return keyed.withColumn(RANGE_COL, self._range(keyed.schema[ORDER_COL].dataType, 0, len(self.borders)))
+
+    def deal(self, df: DataFrame) -> DataFrame:
+        """The same with a range per partition, each sorted; the last ties by all columns."""
+        dealt = self.number(df).repartitionById(len(self.borders) + 1, F.col(RANGE_COL))
+        return dealt.sortWithinPartitions(ORDER_COL, *tie_break(df, [*self.by, *self.ties]))
+
+    def _range(self, kind: T.StructType, low: int, high: int) -> Column:
+        """Number of borders at or below a row, by bisection between ``low`` and ``high``."""
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        border = F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(self.borders[mid], kind.fields)]
+        )
+        return F.when(F.col(ORDER_COL) < border, self._range(kind, low, mid)).otherwise(self._range(kind, mid + 1, high))
+
+
+def _order(df: DataFrame, by: Sequence[str], ties: Sequence[str]) -> Column:
+    """The sort key as one comparable value; nulls sort last."""
+    parts = []
+    for i, name in enumerate(by):
+        value = F.col(name)
+        if isinstance(df.schema[name].dataType, T.TimestampType):
+            value = F.unix_micros(value)
+        parts += [value.isNull().alias(f"n{i}"), value.alias(f"v{i}")]
+    if ties:
+        parts.append(F.xxhash64(*ties).alias("ties"))
+    return F.struct(*parts)
+
+
+def cut_ranges(df: DataFrame, by: Sequence[str], ties: Sequence[str] | None = None) -> Ranges:
+    """Ranges of about equal size, one per shuffle partition.
+
+    Rows equal in ``by`` are ordered by a hash of the columns ``ties`` (default: all
+    others). Reads ``by`` and ``ties`` twice: to count the rows, and to sample them.
+    """
+    spark = df.sparkSession
+    ties = [c for c in df.columns if c not in by] if ties is None else list(ties)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(_order(df, by, ties).alias(ORDER_COL))
+    rows = keys.count() if parts > 1 else 0
+    borders: list[tuple] = []
+    if rows:
+        share = min(1.0, SAMPLED * parts / rows)
+        sample = sorted((tuple(r[0]) for r in keys.sample(share, seed=0).collect()), key=_sortable)
+        picked = [sample[len(sample) * i // parts] for i in range(1, parts)] if sample else []
+        borders = list(dict.fromkeys(picked))
+    return Ranges(tuple(by), tuple(ties), tuple(borders))
+
+
+def _sortable(order: tuple) -> tuple:
+    # A null value is told apart by the flag before it.
+    return tuple((v is not None, v) if v is not None else (False,) for v in order)
+
+
+def scan_ranges(df: DataFrame, ranges: Ranges, step: Step, added: Sequence[T.StructField]) -> DataFrame:
     """Run ``step`` over each sorted range; it appends the ``added`` columns."""
-    ranged = sorted_ranges(df, order)
-    schema = T.StructType([*ranged.schema.fields, *added])
-    return write_and_read(ranged.mapInArrow(step, schema), label)
-
-
-def first_in_order(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, for an n too large for a top-k."""
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    ranked = write_and_read(sorted_ranges(df, order).withColumn("_place", place), "order")
-    sizes = ranked.groupBy(RANGE_COL).agg(F.count("*").alias("_size"))
-    # One row per range: as many as there are shuffle partitions.
-    ends = F.sum("_size").over(Window.orderBy(RANGE_COL))
-    starts = write_and_read(sizes.select(RANGE_COL, (ends - F.col("_size")).alias("_start")), "order-starts")
-    kept = ranked.join(starts, RANGE_COL).filter(F.col("_start") + F.col("_place") < n)
-    return kept.select(*df.columns)
-
+    dealt = ranges.deal(df).drop(ORDER_COL)
+    return dealt.mapInArrow(step, T.StructType([*dealt.schema.fields, *added]))

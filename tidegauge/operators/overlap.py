@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegauge.functions import scores
-from tidegauge.functions.times import int_div
-from tidegauge.operators.timeline import spine_bounds
+from tidegauge.functions.times import instant, int_div
+from tidegauge.operators.timeline import explode_range, spine_bounds
 
 
 def overlap_join(
@@ -36,7 +36,7 @@ def overlap_join(
     width = width_minutes * 60_000_000
     start, end = F.unix_micros("execution_start_time"), F.unix_micros("execution_end_time")
     if isinstance(origin, dt.datetime):
-        lo = F.lit(origin).cast("timestamp")
+        lo = instant(origin)
     else:
         lo = spine_bounds(df, width_minutes, origin).getField("lo")
     keep = list(df.columns if keep is None else keep)
@@ -46,9 +46,7 @@ def overlap_join(
     zero = F.lit(0).cast("bigint")
     first = int_div(F.greatest(F.col("_s") - F.col("_o"), zero), width)
     last = int_div(F.greatest(F.col("_e") - F.col("_o") - 1, zero), width)
-    met = rows.filter(F.col("_e") > F.col("_o")).select(
-        *keep, "_s", "_e", "_o", F.explode(F.sequence(first, F.greatest(first, last))).alias("_k")
-    )
+    met = explode_range(rows.filter(F.col("_e") > F.col("_o")), first, F.greatest(first, last), "_k")
     from_, to = F.col("_o") + F.col("_k") * width, F.col("_o") + (F.col("_k") + 1) * width
     met = met.filter((F.col("_s") < to) & (F.col("_e") > from_))
     bucket_start, bucket_end = F.timestamp_micros(from_), F.timestamp_micros(to)

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.functions import scores
+from tidegauge.functions import scores, times
 from tidegauge.operators import timeline
 from tidegauge.operators.joins import semi_top_n, top_keys
+from tidegauge.operators.ordered import tie_break
 from tidegauge.operators.rollups import rollup_minute
 from tidegauge.schema import CANONICAL_COLS, RECENT_COLS
 
@@ -24,6 +25,12 @@ RECENT_SCORED_COLS = [
 ]
 
 
+def newest_first(rows: DataFrame) -> list[Column]:
+    """Order by arrival, latest first, then query id; other ties by a hash of the row."""
+    by = ["arrival_timestamp", "query_id"]
+    return [F.desc(by[0]), F.asc(by[1]), *tie_break(rows, by)]
+
+
 def with_pressure_level(df: DataFrame) -> DataFrame:
     """Add ``pressure_level`` to rows that have a spill and a queue pressure."""
     return df.withColumn(
@@ -54,7 +61,7 @@ def problem_queries(
     if n is None:
         return out
     order = [F.desc("pressure_score"), F.desc("arrival_timestamp"), F.asc("query_id")]
-    return out.orderBy(*order).limit(n)
+    return out.orderBy(*order, *tie_break(out, ["pressure_score", "arrival_timestamp", "query_id"])).limit(n)
 
 
 def pressure_indicators(buckets: DataFrame, keep: Sequence[str] = ("deployment_type", "window_start")) -> DataFrame:
@@ -74,7 +81,7 @@ def pressure_indicators(buckets: DataFrame, keep: Sequence[str] = ("deployment_t
 def recent_events(df: DataFrame, n: int = 500, deployment: str | None = "all") -> DataFrame:
     """The newest ``n`` events."""
     rows = timeline.filter_deployment(df, deployment).select(*RECENT_COLS)
-    return rows.orderBy(F.desc("arrival_timestamp"), F.asc("query_id")).limit(n)
+    return rows.orderBy(*newest_first(rows)).limit(n)
 
 
 def recent_rollups(
@@ -85,7 +92,7 @@ def recent_rollups(
     The cut applies to whole minutes. It is moved up to the next full one
     before the aggregate, so that older events are not even read.
     """
-    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now = F.current_timestamp() if as_of is None else times.instant(as_of)
     cut = now - F.make_dt_interval(mins=F.lit(minutes))
     first = F.date_trunc("minute", cut + F.make_dt_interval(secs=F.lit(59.999999)))
     rows = timeline.filter_deployment(df.filter(F.col("arrival_timestamp") >= first), deployment)
@@ -100,8 +107,8 @@ def top_instances(instance_buckets: DataFrame, n: int = 12) -> DataFrame:
 
 def top_instance_ids(instance_buckets: DataFrame, n: int = 12) -> list[str]:
     """Names of the ``n`` instances that ran most, for ``pivot_instance``."""
-    if not 0 < n <= 1000:
-        raise ValueError("n must be within 1 and 1000")
+    if n <= 0:
+        raise ValueError("n must be > 0")
     return [r["instance_id"] for r in top_keys(instance_buckets, "instance_id", "running_count", n).collect()]
 
 
@@ -111,7 +118,7 @@ def bucket_history(
     """Deployment or instance buckets from ``since`` on, oldest first."""
     rows = timeline.filter_deployment(buckets, deployment)
     if since is not None:
-        rows = rows.filter(F.col("window_start") >= F.lit(since).cast("timestamp"))
+        rows = rows.filter(F.col("window_start") >= times.instant(since))
     keys = [c for c in ("window_start", "deployment_type", "instance_id") if c in buckets.columns]
     return rows.orderBy(*keys)
 
@@ -121,7 +128,7 @@ def recent_scored(scored: DataFrame, deployment: str | None = "all", n: int | No
     rows = timeline.filter_deployment(scored, deployment).select(*RECENT_SCORED_COLS)
     if n is None:
         return rows
-    return rows.orderBy(F.desc("arrival_timestamp"), F.asc("query_id")).limit(n)
+    return rows.orderBy(*newest_first(rows)).limit(n)
 
 
 def pivot_deployment(rollups: DataFrame, deployments: Sequence[str]) -> DataFrame:

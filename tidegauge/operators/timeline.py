@@ -10,14 +10,32 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidegauge.functions import times
-from tidegauge.operators.ordered import RANGE_COL, scan_ranges, total_order
-from tidegauge.storage import write_and_read
+from tidegauge.operators.ordered import RANGE_COL, cut_ranges, scan_ranges
+
+
+#: A generator's array holds at most this many numbers; longer runs are generated in two steps.
+CHUNK = 4096
 
 
 def _as_timestamp(value: Column | dt.datetime | str | None) -> Column:
-    if value is None:
-        return F.current_timestamp()
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
+    return F.current_timestamp() if value is None else times.instant(value)
+
+
+def explode_range(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """``df`` with one row per whole number from ``first`` through ``last``.
+
+    A run of any length takes two short arrays per row, not one as long as the run.
+    """
+    chunk = F.lit(CHUNK).cast("bigint")
+    last_chunk = times.int_div(F.col("_last") - F.col("_first"), CHUNK)
+    chunks = df.withColumns({"_first": first, "_last": last}).filter(F.col("_last") >= F.col("_first"))
+    # Chunks of chunks, so that the outer array is short as well.
+    outer = chunks.withColumn("_outer", F.explode(F.sequence(F.lit(0).cast("bigint"), times.int_div(last_chunk, CHUNK))))
+    low = F.col("_outer") * chunk
+    inner = outer.withColumn("_chunk", F.explode(F.sequence(low, F.least(low + CHUNK - 1, last_chunk))))
+    begin = F.col("_first") + F.col("_chunk") * chunk
+    out = inner.withColumn(name, F.explode(F.sequence(begin, F.least(begin + CHUNK - 1, F.col("_last")))))
+    return out.drop("_first", "_last", "_outer", "_chunk")
 
 
 def spine_bounds(df: DataFrame, width_minutes: int = 5, origin: str = "first_minute") -> Column:
@@ -36,12 +54,19 @@ def spine_bounds(df: DataFrame, width_minutes: int = 5, origin: str = "first_min
 
 def time_spine(df: DataFrame, width_minutes: int = 5, origin: str = "first_minute") -> DataFrame:
     """All consecutive buckets from the first arrival to the last end."""
-    width = F.make_dt_interval(mins=F.lit(width_minutes))
+    width = width_minutes * 60_000_000
     bounds = df.sparkSession.range(1).select(spine_bounds(df, width_minutes, origin).alias("b"))
-    starts = bounds.filter(F.col("b.lo").isNotNull()).select(
-        F.explode(F.sequence("b.lo", "b.hi", width)).alias("bucket_start")
+    lo, hi = F.unix_micros("b.lo"), F.unix_micros("b.hi")
+    numbered = explode_range(
+        bounds.select(lo.alias("_lo"), hi.alias("_hi")).filter(F.col("_lo").isNotNull()),
+        F.lit(0).cast("bigint"),
+        times.int_div(F.col("_hi") - F.col("_lo"), width),
+        "_k",
+    )
+    start = F.col("_lo") + F.col("_k") * width
+    return numbered.select(
+        F.timestamp_micros(start).alias("bucket_start"), F.timestamp_micros(start + width).alias("bucket_end")
     )
-    return starts.withColumn("bucket_end", F.col("bucket_start") + width)
 
 
 def spine_missing(spine: DataFrame, stored: DataFrame) -> DataFrame:
@@ -71,19 +96,18 @@ def _gaps_in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def replay_delay(df: DataFrame, factor: float, event_time: str = "arrival_timestamp") -> DataFrame:
     """``delay_seconds`` to wait before each row when replaying in time order.
 
-    Order is event time, then query id.
+    Order is event time, then query id. Building the query takes a sample of the
+    sort keys; see ``tidegauge.operators.ordered``.
     """
     if factor <= 0:
         raise ValueError("factor must be > 0")
-    order = total_order(df, [event_time, "query_id"])
     stamped = df.withColumn("_at", F.unix_micros(event_time))
-    scanned = scan_ranges(
-        stamped, order, _gaps_in_range, [T.StructField("_previous", T.LongType())], "replay"
-    )
+    ranges = cut_ranges(stamped, [event_time, "query_id"])
+    scanned = scan_ranges(stamped, ranges, _gaps_in_range, [T.StructField("_previous", T.LongType())])
     # The last arrival of each range, handed to the next one: a row per range.
-    lasts = scanned.groupBy(RANGE_COL).agg(F.max("_at").alias("_last"))
+    lasts = ranges.number(stamped).groupBy(RANGE_COL).agg(F.max("_at").alias("_last"))
     before = lasts.select(RANGE_COL, F.lag("_last").over(Window.orderBy(RANGE_COL)).alias("_before"))
-    joined = scanned.join(write_and_read(before, "replay-before"), RANGE_COL)
+    joined = scanned.join(F.broadcast(before), RANGE_COL)
     gap = F.col("_at") - F.coalesce("_previous", "_before", "_at")
     seconds = F.greatest(gap, F.lit(0)) / F.lit(1e6) / F.lit(float(factor))
     return joined.select(*df.columns, seconds.alias("delay_seconds"))

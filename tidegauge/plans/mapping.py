@@ -63,7 +63,6 @@ def _columns(exprs: dict[str, str]) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     require_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

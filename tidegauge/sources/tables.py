@@ -7,14 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidegauge.operators.ordered import first_in_order, total_order
+from tidegauge.operators.ordered import total_order
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
-# Up to this many rows a top-k in one task is cheapest; beyond it the rows are
-# sorted in ranges and counted off.
-_TOP_K_ROWS = 100_000
-
 
 def _identifier(name: str) -> str:
     name = name.strip()
@@ -63,15 +59,16 @@ def stream_parquet(
 
 
 def limit_events(df: DataFrame, max_events: int | None) -> DataFrame:
-    """The first ``max_events`` rows by arrival and query id; all when None."""
+    """The first ``max_events`` rows by arrival and query id, in that order; all when None.
+
+    One plan for every number: a top-k up to ``spark.sql.execution.topKSortFallbackThreshold``
+    rows, beyond it Spark's sort by ranges with a limit.
+    """
     if max_events is None:
         return df
     if max_events <= 0:
         raise ValueError("max_events must be > 0")
-    order = total_order(df, ["arrival_timestamp", "query_id"])
-    if max_events <= _TOP_K_ROWS:
-        return df.orderBy(*order).limit(max_events)
-    return first_in_order(df, order, max_events)
+    return df.orderBy(*total_order(df, ["arrival_timestamp", "query_id"])).limit(max_events)
 
 
 def union_typed_sources(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -50,18 +50,34 @@ def stream_canonical(messages: DataFrame) -> DataFrame:
     return validate_canonical(typed_message(decoded))
 
 
-def stream_dedup(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS, ttl_seconds: int = 3600) -> DataFrame:
-    """Drop repeats of a key within ``ttl_seconds`` of event time.
+def stream_dedup(
+    df: DataFrame,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    ttl_seconds: int = 3600,
+    watermark: str | None = None,
+    event_time: str = "arrival_timestamp",
+) -> DataFrame:
+    """Drop repeats of a key within ``ttl_seconds`` of event time after the row before.
+
+    The result is that of ``dedup_ttl``, however the stream is cut into batches, for all
+    rows that come no later than ``watermark`` behind the newest one (default: the
+    time to live); later rows are dropped. A repeat, kept or not, starts the time anew.
 
-    The state forgets a key when the watermark, ``ttl_seconds`` behind the
-    newest event, has passed it; rows older than the watermark are dropped. A
-    repeat does not refresh the clock. With the arrival among the keys, as by
-    default, that gives what ``dedup_ttl`` gives.
+    With the event time among the keys a row is passed on at once. Otherwise the rows
+    of a key form sessions without a gap over the time to live, and a session's
+    first row appears when the watermark has closed the session.
     """
     if ttl_seconds <= 0:
         raise ValueError("ttl_seconds must be > 0")
-    marked = df.withWatermark("arrival_timestamp", f"{ttl_seconds} seconds")
-    return marked.dropDuplicatesWithinWatermark(list(keys))
+    marked = df.withWatermark(event_time, watermark or f"{ttl_seconds} seconds")
+    if event_time in keys:
+        return marked.dropDuplicatesWithinWatermark(list(keys))
+    # A gap of exactly the time to live still joins two rows.
+    session = F.session_window(event_time, f"{ttl_seconds} seconds 1 microsecond")
+    rest = [c for c in df.columns if c not in (*keys, event_time)]
+    first = F.min(F.struct(F.col(event_time), *[F.col(c) for c in rest])).alias("_first")
+    sessions = marked.groupBy(*keys, session).agg(first)
+    return sessions.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
 # rollup kind -> (window, group keys, aggregates, name of the window's start)

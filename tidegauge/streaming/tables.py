@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.baselines import DEFAULT_ALPHA, baseline_scores, baselines_and_state
 from tidegauge.operators.dedup import dedup_exact, dedup_last_wins, latest_version
+from tidegauge.operators.reports import newest_first
 from tidegauge.operators.rollups import rollup_minute
 from tidegauge.sources.sinks import write_partitions
 
@@ -57,12 +58,17 @@ def stream_baselines(
         state = None
         if batch_id > 0:
             state = batch.sparkSession.read.parquet(_slot(state_path, batch_id - 1))
-        rows, after = baselines_and_state(batch, alpha=alpha, state=state)
-        baseline_scores(rows).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
-        if state is not None:
-            unseen = state.join(after.select("dataset_type"), "dataset_type", "left_anti")
-            after = after.unionByName(unseen)
-        after.write.mode("overwrite").parquet(_slot(state_path, batch_id))
+        batch.persist()  # both writes and the sampling read it
+        try:
+            rows, after = baselines_and_state(batch, alpha=alpha, state=state)
+            baseline_scores(rows).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+            if state is not None:
+                seen = after.select(F.col("dataset_type").alias("seen"))
+                unseen = state.join(seen, F.col("dataset_type").eqNullSafe(F.col("seen")), "left_anti")
+                after = after.unionByName(unseen)
+            after.write.mode("overwrite").parquet(_slot(state_path, batch_id))
+        finally:
+            batch.unpersist()
 
     return _start(df, handle, checkpoint, seconds)
 
@@ -79,7 +85,7 @@ def stream_last_n(
         if batch_id > 0:
             kept = batch.sparkSession.read.schema(batch.schema).parquet(_slot(path, batch_id - 1))
             rows = kept.unionByName(rows)
-        newest = rows.orderBy(F.desc("arrival_timestamp"), F.asc("query_id")).limit(n)
+        newest = rows.orderBy(*newest_first(rows)).limit(n)
         marked = newest.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
         marked.write.mode("overwrite").parquet(_slot(path, batch_id))
 
@@ -93,7 +99,7 @@ def read_last_n(spark: SparkSession, path: str, show: int | None = None) -> Data
     kept = slots.filter(F.col(BATCH_COL) == current).drop(BATCH_COL, "slot")
     if show is None:
         return kept
-    return kept.orderBy(F.desc("arrival_timestamp"), F.asc("query_id")).limit(show)
+    return kept.orderBy(*newest_first(kept)).limit(show)
 
 
 def stream_upsert(

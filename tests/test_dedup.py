@@ -82,3 +82,9 @@ def test_rows_that_are_all_key(spark):
     df = rows_of(spark, [("a", 0, 1), ("a", 0, 1), ("b", 0, 1)]).select("query_id", "arrival_timestamp")
     assert dedup.dedup_exact(df).count() == 2
     assert dedup.dedup_ttl(df, ["query_id"]).count() == 2
+
+
+def test_rules(make_events):
+    events = make_events([{"query_id": "a"}, {"query_id": "a"}, {"query_id": "b"}])
+    assert dedup.dedup_by_rules(events, DedupRules(keys=("query_id",))).count() == 2
+    assert dedup.dedup_by_rules(events, DedupRules(enabled=False, keys=("query_id",))).count() == 3

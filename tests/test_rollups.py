@@ -24,7 +24,7 @@ def test_every_rollup_of_nothing(make_events):
     for fn in (rollups.rollup_minute, rollups.rollup_5min, rollups.system_metrics_5min, rollups.instance_metrics_5min,
                rollups.top_queries, rollups.top_queries_window, rollups.rollup_p95, rollups.distinct_deployments):
         assert fn(none).count() == 0
-    assert tuple(rollups.ingest_status(none).first()) == (0, None, None)
+    assert tuple(rollups.pipeline_status(none).first()) == (0, None, None)
     assert tuple(rollups.kpi_buffer(none).first()) == (0, 0.0, 0.0)
 
 
@@ -70,7 +70,9 @@ def test_top_queries_arguments(make_events):
     with pytest.raises(ValueError):
         rollups.top_queries_window(events, metric="query_id")
     with pytest.raises(ValueError):
-        rollups.top_queries_window(events, n=5)
+        rollups.top_queries_window(events, n=0)
+    # Any positive number of rows may be asked for.
+    assert rollups.top_queries_window(events, n=5).count() == rollups.top_queries_window(events, n=50_000).count() == 1
 
 
 def test_window_is_anchored_at_the_newest_of_all(make_events):

@@ -20,7 +20,7 @@ def test_views_answer_sql(spark, make_events):
     ask = lambda sql: [tuple(r) for r in spark.sql(sql).collect()]
     assert ask("SELECT query_count FROM v_rollups_minute ORDER BY window_start") == [(2,), (1,), (1,)]
     assert ask("SELECT count(*) FROM v_rollups_5min") == [(3,)]
-    assert ask("SELECT processed_rows FROM v_ingest_status") == [(4,)]
+    assert ask("SELECT processed_rows FROM pipeline_status") == [(4,)]
     assert ask("SELECT query_id FROM v_query_metrics_processed_latest LIMIT 1") == [("q3",)]
     assert ask("SELECT count(*) FROM v_recent_processed") == [(4,)]
     assert ask("SELECT count(*) FROM v_top_problem_queries WHERE pressure_score >= 0") == [(4,)]

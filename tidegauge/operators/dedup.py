@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegauge.functions.times import int_div
+from tidegauge.settings import DedupRules
 
 DEFAULT_KEYS = ("query_id", "arrival_timestamp")
 
@@ -47,6 +48,11 @@ def dedup_last_wins(df: DataFrame, ingest_order: str, keys: Sequence[str] = DEFA
     return first_per_key(df, keys, [F.col(ingest_order).desc_nulls_last(), *_ascending(df, rest)])
 
 
+def dedup_by_rules(df: DataFrame, rules: DedupRules = DedupRules(), event_time: str = "arrival_timestamp") -> DataFrame:
+    """``dedup_ttl`` as the rules say; with ``enabled`` off the rows as they are."""
+    return dedup_ttl(df, rules.keys, rules.ttl_seconds, event_time) if rules.enabled else df
+
+
 def latest_version(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """The row with the newest ``version`` per key."""
     return dedup_last_wins(df, version, keys)

@@ -12,12 +12,22 @@ from tidegauge.operators import timeline
 from tidegauge.operators.joins import semi_top_n, top_keys
 from tidegauge.operators.ordered import tie_break
 from tidegauge.operators.rollups import rollup_minute
-from tidegauge.schema import CANONICAL_COLS, RECENT_COLS
+from tidegauge.schema import DURATION_COLS, METRIC_COLS, RECENT_COLS
 
 AsOf = Column | dt.datetime | str | None
 
+# The columns of the recent scored events, in their order.
 RECENT_SCORED_COLS = [
-    *[c for c in CANONICAL_COLS if c != "duration_seconds"],
+    "query_id",
+    "deployment_type",
+    "instance_id",
+    "arrival_timestamp",
+    "execution_start_time",
+    "execution_end_time",
+    *DURATION_COLS,
+    *METRIC_COLS,
+    "spill_pressure",
+    "queued",
     "queue_score",
     "compile_score",
     "spill_score",

@@ -178,7 +178,7 @@ def top_queries_window(
     return grouped.orderBy(*order).limit(n)
 
 
-def ingest_status(df: DataFrame) -> DataFrame:
+def pipeline_status(df: DataFrame) -> DataFrame:
     """Row count, earliest and latest arrival."""
     return df.agg(
         F.count("*").alias("processed_rows"),

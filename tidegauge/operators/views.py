@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame
 from tidegauge.operators import joins, reports, rollups, windows
 
 
+# The names of the views below are fixed values.
+
+
 def create_event_views(events: DataFrame) -> None:
     """``query_metrics_processed``, and its rollups, newest rows and status."""
     for name, view in {
@@ -14,7 +17,7 @@ def create_event_views(events: DataFrame) -> None:
         "v_rollups_minute": rollups.rollup_minute(events),
         "v_rollups_5min": rollups.rollup_5min(events),
         "v_query_metrics_processed_latest": reports.recent_events(events, 500),
-        "v_ingest_status": rollups.ingest_status(events),
+        "pipeline_status": rollups.pipeline_status(events),
     }.items():
         view.createOrReplaceTempView(name)
 

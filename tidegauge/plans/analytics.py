@@ -11,8 +11,8 @@ from tidegauge.operators import baselines, joins, overlap, reports, rollups, tim
 from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import E, W, events, table, typed_events
 from tidegauge.plans.registry import register
+from tidegauge.plans.scratch import write_and_read
 from tidegauge.schema import CANONICAL_COLS, RECENT_COLS, SCORE_COLS
-from tidegauge.storage import write_and_read
 
 AS_OF = "2024-01-28 06:30:00"
 STATS = """count(*) AS query_count, round(avg(duration_seconds), 6) AS avg_duration_seconds,
@@ -296,12 +296,12 @@ def _(spark, sf_dir):
 
 
 @register(
-    "A12_ingest_status",
+    "A12_pipeline_status",
     f"""WITH {E} SELECT count(*) AS processed_rows, min(arrival_timestamp) AS earliest_arrival_ts,
       max(arrival_timestamp) AS latest_arrival_ts FROM e""",
 )
 def _(spark, sf_dir):
-    return rollups.ingest_status(events(spark, sf_dir))
+    return rollups.pipeline_status(events(spark, sf_dir))
 
 
 @register(

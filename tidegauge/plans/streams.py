@@ -19,9 +19,9 @@ from tidegauge.plans.analytics import FIVE, MINUTE, SCORED_STATS, STATS, _system
 from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import C, E, W, dirty_events, events, table, typed_events
 from tidegauge.plans.registry import register
+from tidegauge.plans.scratch import scratch_path
 from tidegauge.schema import CANONICAL, CANONICAL_COLS, RECENT_COLS, SCORE_COLS, WAREHOUSE_COLS
 from tidegauge.sources import messages, sinks, tables
-from tidegauge.storage import scratch_path
 from tidegauge.streaming import rows as stream_rows, tables as stream_tables
 
 _CUTS = ["2024-01-11", "2024-01-21"]

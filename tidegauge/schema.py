@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 # The deployment types that the canonical event accepts.
 DEPLOYMENT_TYPES = ("provisioned", "serverless", "unknown")
 
+# The canonical event, and the column lists of the tables made from it.
 CANONICAL = T.StructType(
     [
         T.StructField("query_id", T.StringType(), False),
@@ -31,7 +32,7 @@ DURATION_COLS = ["queue_duration_ms", "compile_duration_ms", "execution_duration
 METRIC_COLS = ["scanned_mb", "spilled_mb"]
 TIME_COLS = ["arrival_timestamp", "execution_start_time", "execution_end_time"]
 
-# The live view holds the same fields, times first.
+# The live view holds the same fields, times first.
 UI_COLS = [
     "query_id",
     "deployment_type",
@@ -47,6 +48,7 @@ UI_COLS = [
 # The staged warehouse table has no derived metrics.
 WAREHOUSE_COLS = CANONICAL_COLS[:11]
 
+# The columns of the newest events.
 RECENT_COLS = [
     "arrival_timestamp",
     "query_id",
@@ -59,9 +61,11 @@ RECENT_COLS = [
     "queued",
 ]
 
+# The scores of an event.
 SCORE_COLS = ["queue_score", "compile_score", "scan_score", "spill_score", "utilization_score"]
 SCORED_COLS = ["dataset_type", *CANONICAL_COLS, *SCORE_COLS]
 
+# The older event table.
 LEGACY = T.StructType(
     [
         T.StructField("query_id", T.LongType()),

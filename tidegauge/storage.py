@@ -1,11 +1,8 @@
-"""Session checks and the shared folder for intermediate tables."""
+"""Session checks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Session time zones that mean UTC.
 _UTC_NAMES = {"UTC", "ETC/UTC", "GMT", "Z", "+00:00"}
@@ -16,29 +13,3 @@ def require_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone.upper() not in _UTC_NAMES:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session that names no such folder gets a temporary one; on a
-    cluster a machine-local path would be lost with its executor.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidegauge-")
-    return f"{base.rstrip('/')}/tidegauge/{label}-{uuid.uuid4().hex}"
-
-
-def write_and_read(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder, read it back.
-
-    Unlike a checkpoint the result is columnar, so later passes read only the
-    columns they use, and the planner knows its size.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -13,8 +13,9 @@ A page is parsed into a flat list of elements. Main text is what the outermost
   not single paragraphs, headings or lists, since authors repeat themselves.
 
 Subtree counts are a Spark aggregation by host and subtree. A recurring subtree takes up
-a share of its host's pages, so a host has few, and they are sent to the second pass
-by a join on the host, which Spark can split where a host is large.
+a share of its host's pages, so a host has few, and they are sent to the second pass by
+a join on the host: broadcast while their counted number is below ``BROADCAST_ROWS``,
+else by a shuffle, which Spark can split where a host is large.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined by an empty line in page order. Null and empty pages have an empty
@@ -33,11 +34,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidegauge.llm.common import fresh_name
+from tidegauge.llm.common import fresh_name, stored
 from tidegauge.llm.urls import host_of
 
 LEAST_PAGES = 5
 LEAST_SHARE = 0.1
+#: Up to this many recurring subtrees of all hosts (a host name and a number each) are broadcast.
+BROADCAST_ROWS = 500_000
 
 # HTML's elements by what they mean here.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -247,8 +250,11 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     host, known = fresh_name(pages, "page_host"), fresh_name(pages, "site_template")
     hosted = pages.withColumn(host, host_of(F.col(url_col)))
     found = recurring_subtrees(hosted.select(F.col(host).alias("host"), F.col(html_col).alias("html")), **options)
+    found = stored(found, "site-templates")
     # A subtree of a host is on a share of its pages, so a host's list is short.
     sites = found.groupBy("host").agg(F.collect_list("subtree").alias(known)).withColumnRenamed("host", f"{host}_of")
+    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        sites = F.broadcast(sites)  # the pages then stay where they are read
     joined = hosted.join(sites, F.col(host) == F.col(f"{host}_of"), "left").drop(host, f"{host}_of")
 
     @F.arrow_udf(T.StringType())

@@ -33,7 +33,9 @@ def test_main_text(source, want):
     assert text(source) == want
 
 
-def test_site_template_goes(spark):
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_site_template_goes(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(X, "BROADCAST_ROWS", broadcast)
     box = "<div class='x1'>Join our club today</div>"
     rows = [(i, f"http://a.com/{i}", f"<body><div class='t'>Site name</div><p>own text {i}</p><p>said by all</p></body>") for i in range(10)]
     rows += [(100 + i, f"http://b.com/{i}", f"<article><p>same</p><p>own {i}</p>{box}</article>") for i in range(10)]
@@ -58,6 +60,7 @@ def test_edge_cases(spark):
 
 
 def test_deep_nesting_and_stray_marks():
-    assert text("<div>" * 3000 + "x" + "</div>" * 3000) == "x"
+    deep = X.parse("<div>" * 30_000 + "x" + "</section></b>" * 30_000 + "</div>" * 30_000)
+    assert X.main_text(deep, {1}) == "x" and len(X.subtree_hashes(deep)) == 30_001
     assert text("<" * 20_000).startswith("<")
     assert text("<p '" * 2_000) is not None

@@ -88,7 +88,9 @@ def test_edge_cases(edge_docs, no_docs):
     assert N.near_groups(no_docs).count() == 0 and N.drop_near_duplicates(no_docs).count() == 0
 
 
-def test_one_row_of_each_group_stays(edge_docs):
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_one_row_of_each_group_stays(edge_docs, monkeypatch, broadcast):
+    monkeypatch.setattr(N, "BROADCAST_ROWS", broadcast)
     kept = N.drop_near_duplicates(edge_docs)
     assert kept.columns == edge_docs.columns
     got = [(r.doc_id, r.text) for r in kept.collect()]

@@ -1,0 +1,104 @@
+"""The registered queries on the smallest data, against SQL or brute force."""
+
+import os
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+import test_decontaminate
+import test_fingerprints
+import test_near_dedup
+import test_pii
+from compare import connect, difference
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from tidegauge.llm.queries import ORACLES, QUERIES, vocabulary_path
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+
+
+def rows(spark, name):
+    return QUERIES[name](spark, SF_DIR).collect()
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_sql(spark, name):
+    assert difference(spark, connect(SF_DIR), QUERIES[name], ORACLES[name], SF_DIR) is None
+
+
+def test_op1(spark, docs):
+    got = [tuple(r)[:5] for r in rows(spark, "op1_fingerprints")]
+    assert sorted(got) == sorted(test_fingerprints.brute(docs))
+
+
+def test_op2(spark, docs):
+    got = {r.doc_id: r for r in rows(spark, "op2_pii")}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        found = test_pii.brute(text or "")
+        listed = ",".join(f"{k}:{a}:{b}" for k in test_pii.P.KINDS for a, b in found[k])
+        assert got[i].base_sha256 == sha256(listed.encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k in test_pii.P.KINDS] == [len(found[k]) for k in test_pii.P.KINDS]
+        assert set(filter(None, listed.split(","))) <= set(got[i].spans.split(","))
+
+
+def test_op3(spark, docs):
+    library = Tokenizer.from_file(vocabulary_path())
+    ids = {i: library.encode(t or "", add_special_tokens=False).ids + [1] for i, t in docs}
+    got = rows(spark, "op3_packing")
+    ends, places = {}, {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert r.start == ends.get(r.doc_id, 0) and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(piece, "<u4").tobytes())
+        ends[r.doc_id] = r.start + r.length
+    assert ends == {i: len(v) for i, v in ids.items()}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == places.get(r.sequence_id, 0)
+        places[r.sequence_id] = r.offset + r.length
+    assert sum(n != 2048 for n in places.values()) <= 1
+
+
+def test_op5(spark, docs):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id): pytest.approx(r.similarity, abs=1e-5) for r in rows(spark, "op5_decontaminate")}
+    # Windows of an item begin where one of its shingles is.
+    near = [(i, t) for i, t in docs if set(test_decontaminate.shingles(t)) & {s for _, x in items for s in test_decontaminate.shingles(x)}]
+    assert got == test_decontaminate.brute(near, items)
+
+
+def test_op6(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    got = rows(spark, "op6_extraction")
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    for r in got:
+        assert r.n_chars == len(r.text) > 0 and r.url == pages[r.page_id].url
+        assert "<" not in r.text and "track(" not in r.text and "©" not in r.text
+
+
+def test_op8(spark, docs):
+    prints = [(i, test_near_dedup.brute_fingerprint(t)) for i, t in docs]
+    want = [(i, f"{f:016x}", c) for (i, f), c in zip(prints, test_near_dedup.brute_components(prints))]
+    assert sorted(tuple(r) for r in rows(spark, "op8_near_dedup")) == sorted(want)
+
+
+@pytest.mark.parametrize("name, rest, divisor", [("op4_quality", 2, 4), ("op7_toxicity", 1, 3)])
+def test_classifiers(spark, docs, name, rest, divisor):
+    got = rows(spark, name)
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % divisor == rest)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)

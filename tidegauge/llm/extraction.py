@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import html as html_module
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -85,6 +86,7 @@ class Element:
     tag: str
     parent: int
     start: int
+    body: int  # where the start tag ends
     stop: int = -1
     out: bool = False  # no main text, by tag, role, class or id
     main: int = -1  # the outermost article or main around, itself included
@@ -104,12 +106,14 @@ def parse(source: str) -> Page:
     """Elements and texts of a page, in order."""
     page = Page(source)
     elements, pieces = page.elements, page.pieces
-    elements.append(Element("", -1, 0, len(source)))
+    elements.append(Element("", -1, 0, 0, len(source)))
     stack, at = [0], 0
+    opened: Counter[str] = Counter()
 
     def close(depth: int, where: int) -> None:
         for e in stack[depth:]:
             elements[e].stop = where
+            opened[elements[e].tag] -= 1
         del stack[depth:]
 
     position = 0
@@ -130,6 +134,8 @@ def parse(source: str) -> Page:
         elif tag in _SPACING:
             pieces.append((stack[-1], _SPACE))
         if m.group(1):
+            if not opened[tag]:
+                continue
             inner = tag not in _BLOCKS or tag in ("p", "li")
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = elements[stack[depth]].tag
@@ -140,7 +146,7 @@ def parse(source: str) -> Page:
                     break
             continue
         ends = _ENDS.get(tag)
-        if ends:
+        if ends and any(opened[t] for t in ends):
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = elements[stack[depth]].tag
                 if open_tag in ends:
@@ -151,7 +157,7 @@ def parse(source: str) -> Page:
         if tag in _VOID:
             continue
         parent = stack[-1]
-        e = Element(tag, parent, m.start())
+        e = Element(tag, parent, m.start(), m.end())
         e.out = elements[parent].out or tag in _NO_TEXT
         named = m.group(3)
         if named and not e.out:
@@ -174,14 +180,29 @@ def parse(source: str) -> Page:
             e.stop = m.end()
             continue
         stack.append(len(elements) - 1)
+        opened[tag] += 1
     close(1, len(source))
     return page
 
 
-def subtree_hash(page: Page, e: Element) -> int:
-    """Signed 64-bit hash of an element's source, white space made even."""
-    value = xxhash.xxh64_intdigest(" ".join(page.source[e.start : e.stop].split()))
-    return value - (1 << 64) if value >> 63 else value
+def subtree_hashes(page: Page) -> list[int]:
+    """Signed 64-bit hash of each element: of its start tag, its own text and its children's hashes.
+
+    White space is made even, and comments do not count. Linear in the page.
+    """
+    own: list[list[str]] = [[page.source[e.start : e.body]] for e in page.elements]
+    for i, text in page.pieces:
+        own[i].append(text)
+    below: list[list[bytes]] = [[] for _ in page.elements]
+    hashes = [0] * len(page.elements)
+    for i in range(len(page.elements) - 1, -1, -1):  # children come after their parents
+        e = page.elements[i]
+        text = page.source[e.start : e.stop] if e.tag in _RAW else " ".join(own[i])
+        digest = xxhash.xxh64_digest(b"\0".join([" ".join(text.split()).encode(), *reversed(below[i])]))
+        hashes[i] = int.from_bytes(digest, "big", signed=True)
+        if e.parent >= 0:
+            below[e.parent].append(digest)
+    return hashes
 
 
 def candidates(page: Page) -> list[int]:
@@ -200,8 +221,9 @@ def main_text(page: Page, recurring: frozenset[int] | set[int] = frozenset()) ->
     inside = any(e.main >= 0 for e in elements)
     out = [e.out for e in elements]
     if recurring:
+        hashes = subtree_hashes(page)
         for i in candidates(page):
-            out[i] = subtree_hash(page, elements[i]) in recurring
+            out[i] = hashes[i] in recurring
         for i, e in enumerate(elements):  # parents come first
             out[i] = out[i] or (e.parent >= 0 and out[e.parent])
     blocks, block = [], []
@@ -229,7 +251,9 @@ def recurring_subtrees(
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
                 page = parse(source.as_py() or "")
                 whole = xxhash.xxh64_intdigest(main_text(page)) >> 1
-                found = {subtree_hash(page, page.elements[i]) for i in candidates(page)}
+                chosen = candidates(page)
+                every = subtree_hashes(page) if chosen else []
+                found = {every[i] for i in chosen}
                 hosts += [host] * (len(found) + 1)
                 hashes += [None, *found]  # the first stands for the page
                 texts += [whole] * (len(found) + 1)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from typing import NamedTuple
 
 import numpy as np
@@ -298,7 +299,8 @@ def find_spans(text: str) -> list[Span]:
     out = []
     for kind in KINDS:
         own = plain[kind]
-        added = [s for s in hidden[kind] if not any(a <= s[0] and s[1] <= b for a, b in own)] if hidden[kind] else []
+        starts = [a for a, _ in own]
+        added = [s for s in hidden[kind] if not (i := bisect_right(starts, s[0])) or own[i - 1][1] < s[1]]
         out += sorted([*(Span(kind, a, b, False) for a, b in own), *(Span(kind, a, b, True) for a, b in added)], key=lambda s: s[1:])
     return out
 

@@ -39,6 +39,8 @@ RADIUS = 4
 BLOCKS = 7
 CROWD = 512
 SEED = 42
+#: Up to this many rows that go (a number each) are broadcast when duplicates are dropped.
+BROADCAST_ROWS = 1_000_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -210,9 +212,9 @@ def near_groups(
     )
     rooted = stored(rooted, "simhash-roots")
     names = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return prints.join(rooted.join(names, "root").select("fingerprint", "component_id"), "fingerprint").select(
-        id_col, "fingerprint", "component_id"
-    )
+    classes = rooted.join(names, "root").select("fingerprint", "component_id")
+    # There is a class for nearly every document: never a side to broadcast.
+    return prints.join(classes.hint("merge"), "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -226,5 +228,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) ->
     keyed = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-dedup-input")
     key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
     groups = near_groups(keyed.select(key.alias("key"), "text"), id_col="key", **options)
-    kept = groups.filter("key.row = component_id.row").select(F.col("key.row").alias(component))
-    return keyed.join(kept, keyed[row] == kept[component], "left_semi").drop(row)
+    gone = stored(groups.filter("key.row != component_id.row").select(F.col("key.row").alias(component)), "near-dedup-gone")
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)  # the texts then stay where they are read
+    return keyed.join(gone, keyed[row] == gone[component], "left_anti").drop(row)

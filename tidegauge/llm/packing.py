@@ -215,7 +215,9 @@ def pack_documents(
     """
     tokens = tokenized(docs, vocabulary_path, id_col, end_id).withColumn("row", F.monotonically_increasing_id())
     tokens = stored(tokens, "tokens")
-    placed = tokens.select(id_col, "ids", "row").join(curve_positions(tokens, id_col), "row").select(id_col, "ids", "at")
+    # A position for every document: never a side to broadcast.
+    places = curve_positions(tokens, id_col).hint("merge")
+    placed = tokens.select(id_col, "ids", "row").join(places, "row").select(id_col, "ids", "at")
 
     def run(batches):
         for batch in batches:

@@ -123,7 +123,8 @@ def hamming_links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     )
     rows = nodes.select("fingerprint", F.explode(keys).alias("k")).select("k.choice", "k.bits", "fingerprint")
     buckets = rows.groupBy("choice", "bits").agg(F.count("*").alias("n"), F.min("fingerprint").alias("least"))
-    shared = rows.join(buckets.filter("n > 1"), ["choice", "bits"])
+    # Copies with small changes share many buckets, so these grow with the documents: no side to broadcast.
+    shared = rows.join(buckets.filter("n > 1").hint("merge"), ["choice", "bits"])
     shared = stored(
         shared.withColumn("near", _distance(F.col("fingerprint"), F.col("least")) <= radius), "simhash-buckets"
     )

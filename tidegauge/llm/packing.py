@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +50,13 @@ class WordTokenizer:
     characters whose splitting or lower case may differ the library is asked.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 250_000):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.keep, self.known = keep, {}
         # The same merges over bytes, where 0xff, no byte of a text, is the end of a word.
@@ -68,6 +68,13 @@ class WordTokenizer:
                 ranks[bytes(byte_of[c] for c in word) + (b"\xff" if word != token else b"")] = rank
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
 
+    @cached_property
+    def library(self):
+        """The library's tokenizer, loaded by the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _word(self, word: str) -> bytes:
         ids = [i for p in _PIECES.findall(word.lower()) for i in self.merge.encode_single_piece(p.encode() + b"\xff")]
         found = np.array(ids, "<u2").tobytes()
@@ -149,13 +156,12 @@ def tokenized(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", end
 
     def run(batches):
         tok = tokenizer(vocabulary_path)
-        size = tok.library.get_vocab_size(with_added_tokens=True)
-        if size > 1 << 16:
+        if tok.size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         end = np.array([end_id], "<u2")
         for batch in batches:
             ids = [tok.ids(t) if t else end[:0] for t in (t.as_py() for t in batch.column(1))]
-            keys = hilbert_keys(grid_cells(ids, size))
+            keys = hilbert_keys(grid_cells(ids, tok.size))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

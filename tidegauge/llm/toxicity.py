@@ -61,6 +61,8 @@ _BYTE_SYMBOL[0x80:0xC0] = -1  # the rest of a character
 _BYTE_SYMBOL[0xC3:] = _OTHER
 
 _STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "…«»“”„‘’¡¿"
+#: Marks around words that stand for no letter.
+_MARKS = "".join(c for c in _STRIP if c not in LEET)
 _SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*~·])[^\W_]\1)(?:[^\W_]\1){0,36}[^\W_](?![^\W_])")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _INNER = re.compile(r"[^\W\d_][0-9@$!|+(<€£.\-_*~·]+[^\W\d_]|^[0-9@$!|+(<€£]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$!|+(<€£]+$")
@@ -147,8 +149,12 @@ class Restorer:
     def words(self, text: str) -> set[str]:
         """Distinct lower-case words, without marks around them, and restored ones."""
         low = text.lower()
-        found = {w.strip(_STRIP) for w in set(low.split())}
-        odd = [w for w in found if not w.isalpha() and 2 < len(w) <= _LONGEST and _INNER.search(w)]
+        tokens = set(low.split())
+        found = {w.strip(_STRIP) for w in tokens}
+        # A sign at an end may be a letter or a mark: either end is read both ways.
+        signed = {w.strip(_MARKS) for w in tokens} - found
+        signed |= {w.lstrip(_STRIP) for w in signed} | {w.rstrip(_STRIP) for w in signed}
+        odd = [w for w in found | signed if not w.isalpha() and 2 < len(w) <= _LONGEST and _INNER.search(w)]
         if _RUN.search(low):
             odd += [w for w in found if len(w) <= _LONGEST and _RUN.search(w)]
         found.update(map(self._plain, odd))

@@ -115,3 +115,23 @@ def test_redacted_length(make_docs):
 def test_long_runs_are_fast():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" * 100_000, "a@" * 100_000, "one " * 50_000, "a dot " * 30_000, "4 " * 100_000):
         P.find_spans(text)
+
+
+_NUMBER = "four one one one one one one one one one one one one one one one"
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        *[(f"write to max {o}{gap}{at}{gap}{c} firma.de today", "email")
+          for o, c in ("[]", "()", "{}", "<>") for gap in ("", " ") for at in ("at", "AT", "arroba", "arobase", "klammeraffe", "chez", "@")],
+        *[(f"write to max@firma{o}{gap}{dot}{gap}{c}de today", "email")
+          for o, c in ("[]", "()", "{}", "<>") for gap in ("", " ") for dot in ("dot", "Punkt", "punto", "point", ".")],
+        *[(f"x_{at}_firma {dot} de", "email") for at in ("at", "chez") for dot in ("dot", "punkt")],
+        ("call +1 seven 4 three 5 five 5 three 8 two 4 now", "phone"),
+        *[(f'"{_NUMBER.replace(" ", gap)}"', "card") for gap in (" ", ".", "/", ",", ", ", "-", "\t")],
+    ],
+)
+def test_every_accepted_form_is_looked_at(text, kind):
+    assert [s.kind for s in P.find_spans(text) if s.disguised] == [kind]
+    assert f"[{kind.upper()}]" in P.redact(text)

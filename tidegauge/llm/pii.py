@@ -202,10 +202,13 @@ _SPELLED = re.compile(
     re.IGNORECASE,
 )
 _SPELLED_PART = re.compile(rf"(?P<plus>plus\b[ \t]*|\+[ \t]*)|(?P<dot>[ \t]+(?:{_DOT_WORDS})[ \t]+)|(?P<digit>(?<![^\W_])(?:{_DIGIT})(?![^\W_]))|(?P<gap>[ \t,./()-]+)", re.IGNORECASE)
-_DOT_WORD = re.compile(rf"(?<![^\W_])(?:{_DOT_WORDS})(?![^\W_])")
-#: A spelled number has three of these in a row.
-_SPELLING = frozenset([*DIGIT_WORDS, *_DOT_WORDS.split("|")])
-_SIGNS = ("arroba", "arobase", "(.)", "[.]", "{.}", "<.>", "(@)", "[@]", "{@}", "<@>", "@ ", " @", "(at)", "[at]", "{at}", "<at>", "( at", "[ at")
+_WORD = re.compile(r"[^\W_]+")
+#: Letters that match s and i where case is ignored.
+_FOLD = str.maketrans("ſıİ", "sii")
+#: What every rewritten address has: a hidden @ in any form but a word, or a hidden dot. (A word needs a dot as well.)
+_HIDDEN = re.compile(
+    rf"[\[({{<][ \t]*(?:{_AT_WORDS}|{_DOT_WORDS}|@|\.)[ \t]*[\])}}>]|[ \t]@|@[ \t]|[ \t_-](?:{_DOT_WORDS})[ \t_-]", re.IGNORECASE
+)
 
 
 def _addresses(m: Mapped) -> Mapped:
@@ -244,7 +247,7 @@ def _numbers(m: Mapped, tight: bool) -> Mapped:
             elif p["dot"]:
                 new = "."
             elif p["digit"]:
-                new = DIGIT_WORDS[p.group().lower()]
+                new = DIGIT_WORDS[p.group().translate(_FOLD).lower()]
             else:
                 plain = p.group() == "-" or "(" in p.group() or ")" in p.group()
                 new = "" if tight else p.group() if plain else " "
@@ -267,12 +270,9 @@ def disguised_spans(text: str) -> dict[str, set[tuple[int, int]]]:
     found: dict[str, set[tuple[int, int]]] = {k: set() for k in KINDS}
     unusual = not text.isascii() and _UNUSUAL.search(text)
     base = _characters(Mapped.of(text)) if unusual else Mapped.of(text)
-    low = base.text.lower()
-    hidden = any(sign in low for sign in _SIGNS) or (
-        any(word in low for word in _DOT_WORDS.split("|")) and _DOT_WORD.search(low)
-    )
-    words = low.replace("-", " ").replace(",", " ").split()
-    spelled = b"\1\1\1" in bytes(map(_SPELLING.__contains__, words))
+    hidden = _HIDDEN.search(base.text)
+    words = _WORD.findall(base.text.translate(_FOLD).lower() if unusual or not text.isascii() else text.lower())
+    spelled = sum(map(DIGIT_WORDS.__contains__, words)) > 2  # as many as _numbers asks for, wherever they are
     copies: list[tuple[Mapped, tuple[str, ...]]] = []
     if hidden:
         copies.append((_addresses(base), ("email",)))

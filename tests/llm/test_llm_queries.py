@@ -10,6 +10,7 @@ import test_decontaminate
 import test_fingerprints
 import test_near_dedup
 import test_pii
+import test_repair
 from compare import connect, difference
 from tokenizers import Tokenizer
 
@@ -31,7 +32,7 @@ def rows(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -102,3 +103,9 @@ def test_classifiers(spark, docs, name, rest, divisor):
     for r in got:
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % divisor == rest)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+
+
+def test_op12(spark):
+    said = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()]
+    got = {r.conv_id: tuple(r)[1:] for r in rows(spark, "op12_conversation_repair")}
+    assert got == test_repair.brute_all(test_repair.brute_damage(said))

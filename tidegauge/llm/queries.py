@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidegauge.llm import chat, decontaminate, extraction, fingerprints, near_dedup, packing, pii, quality, toxicity, urls
+from tidegauge.llm import (
+    chat,
+    decontaminate,
+    extraction,
+    fingerprints,
+    infill,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    repair,
+    toxicity,
+    urls,
+)
+from tidegauge.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,3 +201,76 @@ def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_text(pages).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
     )
+
+
+@_query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+    c AS (
+      SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+        CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+            OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 100 THEN 'plain'
+          WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    p AS (
+      SELECT *, array_to_string(u[1:least(x, y)], '') AS prefix, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+        array_to_string(u[greatest(x, y) + 1:], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+      sha256(t) AS restored_sha256
+    FROM p
+    """
+)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cuts, form and digests of every document's fill-in-the-middle text, and of the text restored from it."""
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    made = made.select("doc_id", "infill.*")
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@_query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, repair cost, audit and repaired text's digest of every conversation, damaged by plan."""
+    return repair.repair_report(repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+@_query(
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, coalesce('=' || source, '') AS key, coalesce(CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT), 0) AS size,
+        sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS h FROM documents),
+    w AS (
+      SELECT key, CAST(sum(size) AS BIGINT) AS source_size, CAST(sum(size) AS DOUBLE) * 2 AS lim,
+        [5, 2, 1][(row_number() OVER (ORDER BY min(source) NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY key),
+    r AS (
+      SELECT *, row_number() OVER o AS place, sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights,
+        CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(sum(lim) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remain
+      FROM w WINDOW o AS (ORDER BY lim / weight, key = '', key)),
+    f AS (SELECT min(place) AS first FROM r WHERE remain * weight / weights < lim),
+    l AS (SELECT remain, weights FROM r, f WHERE place = first),
+    t AS (
+      SELECT key, source_size, CASE WHEN first IS NULL OR place < first THEN lim
+        ELSE (SELECT remain FROM l) * weight / (SELECT weights FROM l) END AS target FROM r, f),
+    e AS (
+      SELECT key, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size * 100000000 + 0.5) AS BIGINT) ELSE 0 END AS parts,
+        CAST('0x' || substr(sha256('7:' || key), 1, 13) AS BIGINT) % 100000000 AS start FROM t),
+    s AS (
+      SELECT doc_id, size, source_size, target, parts, start + sum(parts) OVER (
+        PARTITION BY d.key ORDER BY size, h ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d JOIN e ON d.key = e.key)
+    SELECT doc_id, size, source_size, target, CAST(size * (upto // 100000000 - (upto - parts) // 100000000) AS BIGINT) AS taken FROM s
+    """
+)
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document, size and target of its source, and the words that the mix takes of it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    # Texts are read once; sizes and hashes are all that the mix needs.
+    rows = stored(mixing.sized(docs).drop("text"), "sizes")
+    mixed = mixing.mix_sources(rows)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -71,13 +71,15 @@ def forbid_extra(
     return df.filter(F.size(extra) == 0)
 
 
-def typed_message(df: DataFrame) -> DataFrame:
+def typed_message(df: DataFrame, keep: Sequence[str] = (), more: Mapping[str, str] | None = None) -> DataFrame:
     """Canonical columns out of a message decoded as text.
 
     Text that is no value of its type becomes null and so fails validation;
-    a whole number may be written as ``5`` or ``5.0``.
+    a whole number may be written as ``5`` or ``5.0``. ``keep`` names columns to
+    carry along, ``more`` further columns with their types.
     """
-    return computed_once(df, [_typed(field).alias(field.name) for field in CANONICAL])
+    added = [F.col(name).try_cast(kind).alias(name) for name, kind in (more or {}).items()]
+    return computed_once(df, [*keep, *[_typed(field).alias(field.name) for field in CANONICAL], *added])
 
 
 def _typed(field: T.StructField) -> Column:

@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators import validate
-from tidegauge.operators.baselines import scored_events
 from tidegauge.plans.analytics import FIVE, MINUTE, SCORED_STATS, STATS, _system_sql, _SYSTEM_COLS
 from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import C, E, W, dirty_events, events, table, typed_events
 from tidegauge.plans.registry import register
 from tidegauge.plans.scratch import scratch_path
-from tidegauge.schema import CANONICAL, CANONICAL_COLS, RECENT_COLS, SCORE_COLS, WAREHOUSE_COLS
+from tidegauge.schema import CANONICAL_COLS, RECENT_COLS, SCORE_COLS, SCORED_COLS, WAREHOUSE_COLS
 from tidegauge.sources import messages, sinks, tables
 from tidegauge.streaming import rows as stream_rows, tables as stream_tables
+from tidegauge.streaming.scoring import stream_scored
 
 _CUTS = ["2024-01-11", "2024-01-21"]
 _MANY = 1_000_000
@@ -47,13 +47,14 @@ def _feed(df: DataFrame, start: Start) -> str:
     return base
 
 
-def _feed_messages(df: DataFrame, time_col: str, start: Start) -> str:
-    """The same with JSON messages."""
+def _feed_messages(df: DataFrame, time_col: str, *starts: Start, sink: str = "folder") -> str:
+    """The same with JSON messages of one topic; several streams run one after another."""
     spark, base = df.sparkSession, scratch_path(df.sparkSession, "messages")
     for part in _slices(df, time_col):
-        sinks.write_messages(part, f"{base}/raw", "json")
-        source = messages.stream_messages(spark, [f"{base}/raw"], "json", max_per_trigger=_MANY)
-        start(source, base).awaitTermination()
+        sinks.write_messages(part, f"{base}/raw", sink)
+        source = messages.stream_messages(spark, [f"{base}/raw"], sink, max_per_trigger=_MANY)
+        for start in starts:
+            start(source, base).awaitTermination()
     return base
 
 
@@ -81,11 +82,29 @@ def _(spark, sf_dir):
     return _read(spark, base)
 
 
-@register("S4_stream_kafka_json", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
+@register(
+    "S4_stream_kafka_json",
+    f"""WITH {E} SELECT 'raw' AS topic, 0 AS partition, count(*) AS messages, 0 AS first_offset,
+      CAST(count(*) - 1 AS BIGINT) AS last_offset FROM e""",
+)
+def _(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    keep = messages.POSITION_COLS
+    start = lambda source, base: _append(stream_rows.stream_canonical(source, keep), base)
+    got = _read(spark, _feed_messages(rows, "arrival_timestamp", start))
+    # Each position once: as many as from the first through the last.
+    return got.groupBy("topic", "partition").agg(
+        F.countDistinct("offset").alias("messages"),
+        F.min("offset").cast("int").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+    )
+
+
+@register("S4_stream_json_files", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
 def _(spark, sf_dir):
     rows = events(spark, sf_dir)
     start = lambda source, base: _append(stream_rows.stream_canonical(source), base)
-    return _read(spark, _feed_messages(rows, "arrival_timestamp", start))
+    return _read(spark, _feed_messages(rows, "arrival_timestamp", start, sink="json"))
 
 
 # --- streams ----------------------------------------------------------------
@@ -159,12 +178,60 @@ def _(spark, sf_dir):
     return _rolled(events(spark, sf_dir), "5min", ["window_start", "deployment_type"])
 
 
+_PROVISIONED, _SERVERLESS = "query_metrics_processed_provisioned", "query_metrics_processed_serverless"
+
+
+def _score_and_route(source: DataFrame, base: str) -> StreamingQuery:
+    """One stream: JSON messages are cleaned, scored against running baselines, and sent to their topics."""
+    routed = stream_rows.route_topics(stream_scored(stream_rows.stream_clean(source)))
+    return sinks.stream_topics(routed, f"{base}/processed", f"{base}/checkpoint", "folder")
+
+
+def _processed(base: str) -> list[str]:
+    return [f"{base}/processed/{topic}" for topic in (_PROVISIONED, _SERVERLESS)]
+
+
+@register(
+    "X3_stream_scored",
+    f"WITH {E}, {W} SELECT {sql_cols(SCORED_COLS)} FROM scored",
+)
+def _(spark, sf_dir):
+    start = lambda source, base: _append(stream_scored(stream_rows.stream_clean(source)), base)
+    return _read(spark, _feed_messages(events(spark, sf_dir), "arrival_timestamp", start)).select(*SCORED_COLS)
+
+
+@register(
+    "X3_stream_scored_by_event_time",
+    f"WITH {E}, {W} SELECT {sql_cols(SCORED_COLS)} FROM scored",
+)
+def _(spark, sf_dir):
+    # The three slices hold a third of all rows each, mixed in time; rows wait for the watermark.
+    rows = typed_events(spark, sf_dir)
+    mixed = [rows.filter(F.pmod(F.xxhash64("query_id", "arrival_timestamp"), F.lit(3)) == k) for k in range(3)]
+    ends = [
+        rows.limit(1).withColumns({"query_id": F.lit("end"), "dataset_type": F.lit("end"), "arrival_timestamp": F.lit(t).cast("timestamp")})
+        for t in ("2040-01-01", "2050-01-01")
+    ]
+    base = scratch_path(spark, "stream")
+    for part in [*mixed, *ends]:
+        part.write.mode("append").parquet(f"{base}/in")
+        source = tables.stream_parquet(spark, f"{base}/in", rows.schema, _MANY)
+        _append(stream_scored(source, hold="60 days"), base).awaitTermination()
+    return _read(spark, base).filter("dataset_type <> 'end'").select(*SCORED_COLS)
+
+
 @register(
     "X4_stream_rollup_scored",
     f"WITH {E}, {W} SELECT {MINUTE} AS window_start, dataset_type, {SCORED_STATS} FROM scored GROUP BY 1, 2",
 )
 def _(spark, sf_dir):
-    return _rolled(scored_events(typed_events(spark, sf_dir)), "scored", ["window_start", "dataset_type"])
+    def roll(_: DataFrame, base: str) -> StreamingQuery:
+        processed = messages.stream_messages(spark, _processed(base), "folder")
+        rolled = stream_rows.stream_rollup(stream_rows.stream_scored_messages(processed), "scored", "1 hour")
+        return stream_tables.stream_updates(rolled, f"{base}/out", f"{base}/rolled")
+
+    base = _feed_messages(events(spark, sf_dir), "arrival_timestamp", _score_and_route, roll)
+    return stream_tables.read_updates(spark, f"{base}/out", ["window_start", "dataset_type"])
 
 
 @register(
@@ -218,13 +285,9 @@ def _(spark, sf_dir):
       {sql_cols(SCORE_COLS)} FROM scored""",
 )
 def _(spark, sf_dir):
-    start = lambda source, base: _append(stream_rows.route_topics(source), base)
-    routed = _read(spark, _feed(scored_events(typed_events(spark, sf_dir)), start))
-    fields = ", ".join(
-        ["dataset_type string", *[f"{f.name} {f.dataType.simpleString()}" for f in CANONICAL]]
-        + [f"{s} double" for s in SCORE_COLS]
-    )
-    return routed.select("topic", F.from_json("value", fields).alias("row")).select("topic", "row.*")
+    base = _feed_messages(events(spark, sf_dir), "arrival_timestamp", _score_and_route)
+    sent = messages.read_messages(spark, _processed(base))
+    return stream_rows.stream_scored_messages(sent, ["topic"])
 
 
 # --- sinks ------------------------------------------------------------------
@@ -248,8 +311,8 @@ def _(spark, sf_dir):
 @register("K2_write_kafka_json", f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e")
 def _(spark, sf_dir):
     path = scratch_path(spark, "topic")
-    sinks.write_messages(events(spark, sf_dir), path, "json")
-    lines = spark.read.text(path)
+    sinks.write_messages(events(spark, sf_dir), path, "folder")
+    lines = messages.read_messages(spark, [path])
     decoded = validate.decode_json(validate.forbid_extra(lines), validate.text_schema(CANONICAL_COLS))
     return validate.validate_canonical(validate.typed_message(decoded))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.validate import project_warehouse
+from tidegauge.sources import topics
 
 # The file formats that batch files may have.
 BATCH_FORMATS = ("parquet", "csv")
@@ -68,8 +69,8 @@ def to_messages(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def write_messages(
     df: DataFrame, target: str, sink: str = "kafka", bootstrap_servers: str = "localhost:9092"
 ) -> None:
-    """Send rows as JSON: to the topic ``target``, or as JSON lines into the
-    folder ``target``."""
+    """Send rows as JSON: to the topic ``target``; with ``sink='folder'`` to the topic that is
+    the folder ``target``, with ``'json'`` as JSON lines into the plain folder ``target``."""
     messages = to_messages(df)
     if sink == "kafka":
         (
@@ -78,10 +79,45 @@ def write_messages(
             .option("topic", target)
             .save()
         )
+    elif sink == "folder":
+        root, _, name = target.rstrip("/").rpartition("/")
+        topics.register(df.sparkSession)
+        named = messages.select(F.lit(topics.topic_name(name)).alias("topic"), "value")
+        named.write.format(topics.FORMAT).mode("append").option("path", root).save()
     elif sink == "json":
         messages.write.mode("append").text(target)
     else:
-        raise ValueError("sink must be 'kafka' or 'json'")
+        raise ValueError("sink must be 'kafka', 'folder' or 'json'")
+
+
+def stream_topics(
+    routed: DataFrame,
+    target: str,
+    checkpoint: str,
+    sink: str = "kafka",
+    seconds: int | None = None,
+) -> StreamingQuery:
+    """Send a stream's ``(topic, value)`` rows each to its topic.
+
+    With ``sink='kafka'`` ``target`` names the bootstrap servers; delivery is at least
+    once, so a batch repeated after a failure is sent again. With ``sink='folder'`` it is
+    the folder of the topics: a batch appears whole in each topic or not at all, and one
+    that is repeated adds nothing. There a topic takes one stream at a time, and the
+    checkpoint's path is the name by which a stream knows its own batches.
+
+    Without ``seconds`` all that is available now is sent, and the query ends.
+    """
+    writer = routed.select("topic", "value").writeStream.option("checkpointLocation", checkpoint)
+    if sink == "kafka":
+        writer = writer.format("kafka").option("kafka.bootstrap.servers", target)
+    elif sink == "folder":
+        topics.register(routed.sparkSession)
+        writer = writer.format(topics.FORMAT).option("path", target).option("writer", checkpoint)
+    else:
+        raise ValueError("sink must be 'kafka' or 'folder'")
+    if seconds is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
 def stage_for_warehouse(df: DataFrame, prefix: str, batch_id: int | str) -> str:

@@ -19,19 +19,27 @@ from tidegauge.operators.validate import (
     typed_message,
     validate_canonical,
 )
-from tidegauge.schema import CANONICAL_COLS
+from tidegauge.schema import CANONICAL_COLS, SCORE_COLS, SCORED_COLS
 from tidegauge.settings import CleaningRules
 from tidegauge.sources.sinks import to_messages
 
 
-def stream_clean(messages: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+def stream_clean(
+    messages: DataFrame,
+    rules: CleaningRules = CleaningRules(),
+    formats: tuple[str, ...] = (),
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Raw JSON messages to valid canonical events with ``dataset_type``.
 
     Which of a field's names is present is decided message by message, and an
     explicit null counts as present. A message without ``deployment_type``
     takes its dataset type for it.
+
+    ``formats`` are patterns of times that are no ISO texts. ``keep`` names columns of
+    ``messages`` to carry along, such as ``POSITION_COLS``.
     """
-    raw = decode_json(messages)
+    raw = decode_json(messages, keep=keep)
     typed = raw.withColumn("dataset_type", derive_dataset_type(F.col("dataset_type"), F.col("deployment_type")))
     given = F.array_contains(KEYS_COL, "deployment_type")
     typed = typed.withColumns(
@@ -40,14 +48,28 @@ def stream_clean(messages: DataFrame, rules: CleaningRules = CleaningRules()) ->
             KEYS_COL: F.array_append(KEYS_COL, "deployment_type"),
         }
     )
-    resolved = resolve_aliases(typed, KEYS_COL, ["dataset_type"])
-    return clean_resolved(resolved, rules, keep=["dataset_type"], from_messages=True)
+    kept = [*keep, "dataset_type"]
+    resolved = resolve_aliases(typed, KEYS_COL, kept)
+    return clean_resolved(resolved, rules, formats, keep=kept, from_messages=True)
+
+
+def stream_canonical(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """JSON messages that are canonical events already; all others are dropped.
+
+    ``keep`` names columns of ``messages`` to carry along.
+    """
+    decoded = decode_json(forbid_extra(messages), text_schema(CANONICAL_COLS), keep=keep)
+    return validate_canonical(typed_message(decoded, keep=keep))
 
 
-def stream_canonical(messages: DataFrame) -> DataFrame:
-    """JSON messages that are canonical events already; all others are dropped."""
-    decoded = decode_json(forbid_extra(messages), text_schema(CANONICAL_COLS))
-    return validate_canonical(typed_message(decoded))
+def stream_scored_messages(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Scored events as ``route_topics`` sends them, decoded; messages without all their fields are dropped."""
+    decoded = decode_json(forbid_extra(messages, SCORED_COLS), text_schema(SCORED_COLS), keep=keep)
+    typed = typed_message(decoded, keep=[*keep, "dataset_type"], more={c: "double" for c in SCORE_COLS})
+    scored = F.lit(True)
+    for c in ["dataset_type", *SCORE_COLS]:
+        scored = scored & F.col(c).isNotNull()
+    return validate_canonical(typed.filter(scored)).select(*keep, *SCORED_COLS)
 
 
 def stream_dedup(
@@ -91,12 +113,13 @@ _KINDS = {
 
 
 def stream_rollup(
-    df: DataFrame, kind: str, watermark: str = "10 minutes", keys: Sequence[str] | None = None
+    df: DataFrame, kind: str, watermark: str | None = "10 minutes", keys: Sequence[str] | None = None
 ) -> DataFrame:
     """A rollup of ``tidegauge.operators.rollups`` on a stream.
 
     ``kind`` is minute, 5min, scored, system or instance. Rows that come more
-    than ``watermark`` behind the newest event are dropped. In update mode
+    than ``watermark`` behind the newest event are dropped; with None, ``df`` has a
+    watermark already, as after ``stream_scored`` with ``hold``. In update mode
     each trigger emits the windows it changed, in append mode those closed.
     """
     if kind not in _KINDS:
@@ -105,7 +128,7 @@ def stream_rollup(
     group = list(keys or default_keys)
     if kind == "instance":
         df = df.filter(F.col("instance_id").isNotNull())
-    marked = df.withWatermark("arrival_timestamp", watermark)
+    marked = df if watermark is None else df.withWatermark("arrival_timestamp", watermark)
     rolled = marked.groupBy(F.window("arrival_timestamp", width), *group).agg(*aggregates())
     out = rolled.withColumn(name, F.col("window.start")).drop("window")
     return rollups.with_pressures(out) if kind == "system" else out

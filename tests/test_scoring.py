@@ -133,10 +133,10 @@ def test_from_messages_to_topics_and_rollups(spark, rows, tmp_path):
         sinks.stream_batches(chained, f"{base}/chained", f"{base}/cp2", 1000).awaitTermination()
         processed = messages.stream_messages(spark, [f"{base}/topics/p", f"{base}/topics/s"], "folder")
         rolled = stream_rows.stream_rollup(stream_rows.stream_scored_messages(processed), "scored")
-        stream_tables.stream_updates(rolled, f"{base}/rolled", f"{base}/cp3").awaitTermination()
+        stream_tables.stream_updates(rolled, f"{base}/rolled", f"{base}/cp3", ["window_start", "dataset_type"]).awaitTermination()
     want = {(r.window_start, r.dataset_type): r.asDict() for r in rollups.rollup_minute_scored(scored_events(make())).collect()}
     chained = spark.read.parquet(f"{base}/chained")
-    latest = stream_tables.read_updates(spark, f"{base}/rolled", ["window_start", "dataset_type"])
+    latest = stream_tables.read_updates(spark, f"{base}/rolled")
     for name, got in (("chained", chained), ("latest", latest)):
         found = {(r.window_start, r.dataset_type): r.asDict() for r in got.filter("window_start < '2024-01-02'").collect()}
         assert want.keys() - found.keys() == set(), name

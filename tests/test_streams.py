@@ -115,16 +115,17 @@ def test_rollups_equal_batch(spark, make_events, feed, kind, fn):
         make_events([at(s, instance_id=i, queue_duration_ms=s % 2) for s, i in [(0, "a"), (30, None), (70, "b")]]),
         make_events([at(s, instance_id="a") for s in (59, 299, 300)]),
     ]
-    base = feed(batches, lambda s, b: stream_tables.stream_updates(stream_rows.stream_rollup(s, kind), f"{b}/out", f"{b}/checkpoint"))
     want = fn(batches[0].unionByName(batches[1]))
     keys = [c for c in ("window_start", "bucket_start", "deployment_type", "instance_id") if c in want.columns]
-    same(stream_tables.read_updates(spark, f"{base}/out", keys), want)
+    base = feed(batches, lambda s, b: stream_tables.stream_updates(stream_rows.stream_rollup(s, kind), f"{b}/out", f"{b}/checkpoint", keys))
+    same(stream_tables.read_updates(spark, f"{base}/out"), want)
 
 
 def test_rollup_drops_rows_behind_the_watermark(spark, make_events, feed):
     batches = [make_events([at(0), at(3600)]), make_events([at(3600)]), make_events([at(30), at(3601)])]
-    base = feed(batches, lambda s, b: stream_tables.stream_updates(stream_rows.stream_rollup(s, "minute"), f"{b}/out", f"{b}/checkpoint"))
-    got = stream_tables.read_updates(spark, f"{base}/out", ["window_start", "deployment_type"])
+    keys = ["window_start", "deployment_type"]
+    base = feed(batches, lambda s, b: stream_tables.stream_updates(stream_rows.stream_rollup(s, "minute"), f"{b}/out", f"{b}/checkpoint", keys))
+    got = stream_tables.read_updates(spark, f"{base}/out")
     assert {r["window_start"].hour: r["query_count"] for r in got.collect()} == {0: 1, 1: 3}
     with pytest.raises(ValueError):
         stream_rows.stream_rollup(batches[0], "weekly")
@@ -170,12 +171,12 @@ def test_upsert_counts_late_rows_and_repeats_nothing(spark, make_events, feed, p
     ]
 
     def start(source, base, checkpoint="checkpoint"):
-        return stream_tables.stream_upsert(source, f"{base}/events", f"{base}/rollups", f"{base}/{checkpoint}", part=part)
+        return stream_tables.stream_upsert(source, f"{base}/events", f"{base}/rollups", f"{base}/{checkpoint}", "scanned_mb", part=part)
 
     def check(base):
-        got = spark.read.parquet(f"{base}/rollups").drop(stream_tables.PART_COL)
+        got = stream_tables.read_rollups(spark, f"{base}/rollups")
         same(got, rollups.rollup_minute(dedup.dedup_exact(batches[0].unionByName(batches[2]))))
-        assert spark.read.parquet(f"{base}/events").count() == 4
+        assert stream_tables.read_events(spark, f"{base}/events").count() == 4
 
     base = feed(batches[:2], start)
     shutil.copytree(f"{base}/checkpoint", f"{base}/before")
@@ -187,13 +188,22 @@ def test_upsert_counts_late_rows_and_repeats_nothing(spark, make_events, feed, p
 
 
 def test_upsert_last_row_of_a_batch_wins(spark, make_events, feed):
-    batch = make_events([at(10, query_id="a", scanned_mb=1.0), at(10, query_id="a", scanned_mb=5.0)]).withColumn("offset", F.col("scanned_mb"))
+    rows = [("t", 0, 1, 5.0), ("t", 0, 2, 1.0), ("s", 9, 9, 7.0)]
+    events = make_events([at(10, query_id="a", scanned_mb=mb) for _, _, _, mb in rows])
+    places = spark.createDataFrame([(mb, *p) for *p, mb in rows], "scanned_mb double, topic string, partition int, offset long")
+    batch = events.join(places, "scanned_mb").select(*events.columns, "topic", "partition", "offset")
 
     def start(source, base):
-        return stream_tables.stream_upsert(source, f"{base}/events", f"{base}/rollups", f"{base}/checkpoint", "offset")
+        paths = f"{base}/events", f"{base}/rollups", f"{base}/checkpoint"
+        return stream_tables.stream_upsert(source, *paths, messages.POSITION_COLS)
 
     base = feed([batch], start)
-    assert [r["scanned_mb"] for r in spark.read.parquet(f"{base}/events").collect()] == [5.0]
+    kept = stream_tables.read_events(spark, f"{base}/events").collect()
+    assert [(r["scanned_mb"], r["offset"]) for r in kept] == [(1.0, 2)]
+    with pytest.raises(ValueError):
+        stream_tables.stream_upsert(batch, "a", "b", "c", [])
+    with pytest.raises(ValueError):
+        stream_tables.stream_upsert(batch, "a", "b", "c", "offset", part="week")
 
 
 def test_routing(make_events):

@@ -41,11 +41,14 @@ def dedup_exact(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
     return first_per_key(df, keys, _ascending(df, rest) or [F.lit(0)])
 
 
-def dedup_last_wins(df: DataFrame, ingest_order: str, keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
-    """One row per key, the last by ``ingest_order``."""
-    _require_columns(df, [*keys, ingest_order])
-    rest = [c for c in df.columns if c not in (*keys, ingest_order)]
-    return first_per_key(df, keys, [F.col(ingest_order).desc_nulls_last(), *_ascending(df, rest)])
+def dedup_last_wins(
+    df: DataFrame, ingest_order: str | Sequence[str], keys: Sequence[str] = DEFAULT_KEYS
+) -> DataFrame:
+    """One row per key, the last by ``ingest_order``, one column or several."""
+    order = [ingest_order] if isinstance(ingest_order, str) else list(ingest_order)
+    _require_columns(df, [*keys, *order])
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    return first_per_key(df, keys, [*[F.col(c).desc_nulls_last() for c in order], *_ascending(df, rest)])
 
 
 def dedup_by_rules(df: DataFrame, rules: DedupRules = DedupRules(), event_time: str = "arrival_timestamp") -> DataFrame:

@@ -12,15 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.baselines import DEFAULT_ALPHA, baseline_scores, baselines_and_state
-from tidegauge.operators.dedup import dedup_exact, dedup_last_wins, latest_version
+from tidegauge.operators.dedup import dedup_last_wins
+from tidegauge.operators.joins import replace_buckets
+from tidegauge.operators.partials import finished, merge_partials, minute_partials
 from tidegauge.operators.reports import newest_first
-from tidegauge.operators.rollups import rollup_minute
-from tidegauge.sources.sinks import write_partitions
+from tidegauge.streaming.parts import PART_COL, PartTable, part_format
 
 BATCH_COL = "batch_id"
-PART_COL = "arrival_part"
-# How long a span of time shares one partition.
-PART_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def _start(
@@ -107,45 +105,72 @@ def stream_upsert(
     events_path: str,
     rollups_path: str,
     checkpoint: str,
-    ingest_order: str | None = None,
+    ingest_order: Sequence[str],
     part: str = "hour",
     seconds: int | None = None,
 ) -> StreamingQuery:
-    """Append each batch to the event table and refresh the minute rollups it touches.
-
-    Within a batch the last row of an event wins, by ``ingest_order`` where
-    given. Events lie by ``part`` (hour or day) and batch, so a repeated batch
-    overwrites itself. Rollups lie by the same part; the parts of a batch are
-    computed again from the stored events of just these parts, so late rows
-    count and nothing is added twice. The stream's position is committed after
-    both writes.
+    """Append each batch to the event table and add it to the minute rollups it touches.
+
+    Within a batch the last row of an event wins, by the columns ``ingest_order`` (such as
+    ``POSITION_COLS``); rows equal there too follow their other columns. Both tables are
+    ``PartTable``s, by ``part`` (hour or day): a batch reads the partial rollups of its own
+    parts and no events, late rows count, and a repeated batch adds nothing twice. The
+    stream's position is committed after both writes. ``read_events`` and ``read_rollups``
+    give the tables.
     """
-    if part not in PART_FORMATS:
-        raise ValueError(f"part must be one of {', '.join(PART_FORMATS)}")
-    fmt = PART_FORMATS[part]
+    fmt, order = part_format(part), [ingest_order] if isinstance(ingest_order, str) else list(ingest_order)
+    if not order:
+        raise ValueError("ingest_order must name at least one column")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = dedup_last_wins(batch, ingest_order) if ingest_order else dedup_exact(batch)
-        rows = rows.withColumns(
-            {PART_COL: F.date_format("arrival_timestamp", fmt), BATCH_COL: F.lit(batch_id).cast("bigint")}
-        )
-        write_partitions(rows, events_path, [PART_COL, BATCH_COL], ["arrival_timestamp"])
-
-        stored = spark.read.schema(rows.schema).parquet(events_path)
-        touched = stored.filter(F.col(BATCH_COL) == batch_id).select(PART_COL).distinct()
-        minutes = rollup_minute(stored.join(touched, PART_COL, "left_semi"))
-        parted = minutes.withColumn(PART_COL, F.date_format("window_start", fmt))
-        write_partitions(parted, rollups_path, [PART_COL], ["window_start"])
+        rows = dedup_last_wins(batch, order).withColumn(PART_COL, F.date_format("arrival_timestamp", fmt))
+        rows = rows.persist()  # both tables and the list of parts read it
+        try:
+            PartTable(spark, events_path).append(batch_id, rows, ["arrival_timestamp"])
+            fresh = minute_partials(rows, ["deployment_type", PART_COL])
+            keys = ["window_start", "deployment_type", PART_COL]
+            merged = lambda old, new: merge_partials(old.unionByName(new), keys)
+            PartTable(spark, rollups_path).merge(batch_id, fresh, merged, ["window_start"])
+        finally:
+            rows.unpersist()
 
     return _start(df, handle, checkpoint, seconds)
 
 
-def stream_updates(rolled: DataFrame, path: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
-    """Write the windows that each trigger changed, under the batch's number."""
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events that ``stream_upsert`` has stored."""
+    return PartTable(spark, path).current().drop(PART_COL)
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    """The partial rollups that ``stream_upsert`` keeps, one row per minute and deployment."""
+    return PartTable(spark, path).current().drop(PART_COL)
+
+
+def read_rollups(spark: SparkSession, path: str) -> DataFrame:
+    """The minute rollups that ``stream_upsert`` keeps."""
+    return finished(read_partials(spark, path))
+
+
+def stream_updates(
+    rolled: DataFrame, path: str, checkpoint: str, keys: Sequence[str], part: str = "hour", seconds: int | None = None
+) -> StreamingQuery:
+    """Keep the latest state of every window of ``stream_rollup``.
+
+    ``keys`` are those of a window, its start first. Each trigger replaces the windows it
+    changed within their parts (``PartTable``), so a part that the watermark has closed is
+    never read or written again.
+    """
+    fmt = part_format(part)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+        fresh = batch.withColumn(PART_COL, F.date_format(keys[0], fmt)).persist()
+        try:
+            merged = lambda old, new: replace_buckets(old, new, [PART_COL, *keys])
+            PartTable(batch.sparkSession, path).merge(batch_id, fresh, merged, list(keys))
+        finally:
+            fresh.unpersist()
 
     writer = rolled.writeStream.outputMode("update").foreachBatch(handle).option("checkpointLocation", checkpoint)
     if seconds is None:
@@ -153,6 +178,6 @@ def stream_updates(rolled: DataFrame, path: str, checkpoint: str, seconds: int |
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
-def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The latest state of every window that ``stream_updates`` wrote."""
-    return latest_version(spark.read.parquet(path), keys, BATCH_COL).drop(BATCH_COL)
+def read_updates(spark: SparkSession, path: str) -> DataFrame:
+    """The latest state of every window that ``stream_updates`` keeps."""
+    return PartTable(spark, path).current().drop(PART_COL)

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.operators import overlap
+from tidegauge.operators import overlap, timeline
 
 T0 = datetime(2024, 1, 1, 0, 2)
 MS = timedelta(milliseconds=1)
@@ -99,3 +99,39 @@ def test_a_query_of_many_years(make_events):
     met = overlap.overlap_rollup_deployment(events.limit(1), origin=T0)
     assert met.count() == buckets
     assert time_spine(events).count() == buckets
+
+
+def test_runs_over_slices_add_up_to_one_run_over_all(make_events):
+    """Queries that span the cuts, zero lengths, and a bucket that every slice meets."""
+    draw = random.Random(8)
+    t0 = datetime(2024, 1, 1)
+    rows = []
+    for i in range(90):
+        start = t0 + timedelta(seconds=draw.randrange(7200), milliseconds=draw.randrange(1000))
+        length = draw.choice([0, 1, 250_000, 3_600_000, 20_000_000])
+        rows.append({"arrival_timestamp": start, "execution_start_time": start, "execution_end_time": start + timedelta(milliseconds=length),
+                     "execution_duration_ms": length, "scanned_mb": draw.random() * 9, "spilled_mb": draw.random(), "instance_id": draw.choice([None, "a", "b"])})
+    rows.sort(key=lambda r: r["arrival_timestamp"])
+    for rollup in (overlap.overlap_rollup_deployment, overlap.overlap_rollup_instance):
+        for origin in ("epoch", t0):
+            stored = None
+            for part in (rows[:30], rows[30:60], rows[60:]):
+                fresh = rollup(make_events(part), origin=origin)
+                stored = fresh if stored is None else overlap.extend_overlap(stored, fresh)
+            whole = rollup(make_events(rows), origin=origin)
+            assert stored.columns == whole.columns
+            key = lambda r: (r["bucket_start"], r["deployment_type"], "instance_id" in r and (r["instance_id"] or ""))
+            for a, b in zip(sorted(stored.collect(), key=key), sorted(whole.collect(), key=key), strict=True):
+                for c in whole.columns:
+                    assert a[c] == (pytest.approx(b[c], abs=1e-9) if isinstance(b[c], float) else b[c])
+    with pytest.raises(ValueError):
+        overlap.extend_overlap(whole, whole.drop("instance_id"))
+
+
+def test_a_long_run_is_made_in_short_arrays(spark):
+    from pyspark.sql import functions as F
+
+    runs = spark.createDataFrame([(0, 0), (5, 4), (-3, 9000), (7, 7 + 4095), (1, 1 + 4096)], "a long, b long")
+    got = timeline.explode_range(runs, F.col("a"), F.col("b"), "k")
+    counts = {(r.a, r.b): (r.n, r.low, r.high) for r in got.groupBy("a", "b").agg(F.count_distinct("k").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).collect()}
+    assert counts == {(a, b): (b - a + 1, a, b) for a, b in [(0, 0), (-3, 9000), (7, 4102), (1, 4097)]} and got.count() == sum(n for n, _, _ in counts.values())

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.functions import times
-from tidegauge.operators import timeline
+from tidegauge.operators import ordered, timeline
 from tidegauge.sources import tables
 
 T0 = datetime(2024, 1, 1)
@@ -125,3 +125,34 @@ def test_union_typed_sources(make_events):
     left, right = make_events([{}]), make_events([{}, {}]).drop("instance_id")
     got = tables.union_typed_sources({"provisioned": left, "serverless": right})
     assert {(r["dataset_type"], r["instance_id"]) for r in got.collect()} == {("provisioned", "i-1"), ("serverless", None)}
+
+
+def test_building_for_thousands_of_partitions_is_quick(spark, make_events):
+    import time
+
+    draw = random.Random(1)
+    rows = make_events([{"arrival_timestamp": datetime(2024, 1, 1) + timedelta(seconds=draw.randrange(10**6))} for _ in range(4000)]).cache()
+    rows.count()
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        began = time.monotonic()
+        ranges = ordered.cut_ranges(rows, ["arrival_timestamp", "query_id"])
+        plan = ranges.number(rows)
+        plan._jdf.queryExecution().executedPlan()
+        assert time.monotonic() - began < 5
+        assert len(ranges.borders) > 500
+        # Each row is in the range that its order tells.
+        got = plan.select(ordered.RANGE_COL, ordered.ORDER_COL).collect()
+        for r in got:
+            assert r[0] == sum(b <= tuple(r[1]) for b in ranges.borders)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_ranges_are_even_though_partitions_are_not(spark, make_events):
+    rows = make_events([{"arrival_timestamp": datetime(2024, 1, 1) + timedelta(seconds=i)} for i in range(6000)])
+    uneven = rows.filter("query_id <= 'q2'").coalesce(1).union(rows.filter("query_id > 'q2'").repartition(6))
+    ranges = ordered.cut_ranges(uneven, ["arrival_timestamp", "query_id"], per_partition=2)
+    sizes = [r["count"] for r in ranges.number(uneven).groupBy(ordered.RANGE_COL).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * 6000 / 8
+    assert ordered.cut_ranges(rows.filter("false"), ["arrival_timestamp"]).borders == ()

@@ -97,9 +97,12 @@ def overlap_rollup_deployment(
     time, so the shares of one query may add to more than 1; with
     ``divisor='interval'`` they add to 1. ``queued_count`` is always 0.
     """
-    out = _overlap_rollup(df, ["deployment_type"], divisor, origin)
+    return _with_pressure(_overlap_rollup(df, ["deployment_type"], divisor, origin))
+
+
+def _with_pressure(sums: DataFrame) -> DataFrame:
     scanned, spilled = F.col("scanned_mb"), F.col("spilled_mb")
-    return out.withColumns(
+    return sums.withColumns(
         {
             "queued_count": F.lit(0).cast("bigint"),
             "spill_pressure": F.when(scanned + spilled != 0, spilled / (scanned + spilled)).otherwise(F.lit(0.0)),
@@ -112,3 +115,25 @@ def overlap_rollup_instance(
 ) -> DataFrame:
     """The same per bucket, deployment and instance."""
     return _overlap_rollup(df, ["deployment_type", "instance_id"], divisor, origin)
+
+
+def extend_overlap(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Buckets of ``overlap_rollup_...`` with those of further queries added.
+
+    A query that is still open at the end of what was computed before has its share in the
+    later buckets already: they are stored too, and what comes later is added to them. So
+    runs over disjoint sets of queries, however their intervals cross, add up to one run
+    over all, and a run costs its own queries and the buckets they touch.
+
+    Both sides need one fixed ``origin``: that of the first run, or ``epoch``; the first
+    minute of each run would shift the buckets. Buckets that ``fresh`` does not touch are
+    left as they are; both sides have the same columns.
+    """
+    sums = ["running_count", "scanned_mb", "spilled_mb"]
+    derived = ["queued_count", "spill_pressure"]
+    if set(stored.columns) != set(fresh.columns):
+        raise ValueError("stored and fresh buckets must have the same columns")
+    keys = [c for c in fresh.columns if c not in (*sums, *derived)]
+    added = stored.unionByName(fresh).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    out = _with_pressure(added) if "spill_pressure" in fresh.columns else added
+    return out.select(*fresh.columns)

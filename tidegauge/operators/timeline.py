@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
 
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegauge.functions import times
-from tidegauge.operators.ordered import RANGE_COL, cut_ranges, scan_ranges
+from tidegauge.operators.ordered import ORDER_COL, RANGE_COL, cut_ranges
 
 
 #: A generator's array holds at most this many numbers; longer runs are generated in two steps.
@@ -24,18 +21,13 @@ def _as_timestamp(value: Column | dt.datetime | str | None) -> Column:
 def explode_range(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
     """``df`` with one row per whole number from ``first`` through ``last``.
 
-    A run of any length takes two short arrays per row, not one as long as the run.
+    A run is generated in chunks: a row makes one array of the chunks' starts, and one of
+    at most ``CHUNK`` numbers per chunk.
     """
-    chunk = F.lit(CHUNK).cast("bigint")
-    last_chunk = times.int_div(F.col("_last") - F.col("_first"), CHUNK)
-    chunks = df.withColumns({"_first": first, "_last": last}).filter(F.col("_last") >= F.col("_first"))
-    # Chunks of chunks, so that the outer array is short as well.
-    outer = chunks.withColumn("_outer", F.explode(F.sequence(F.lit(0).cast("bigint"), times.int_div(last_chunk, CHUNK))))
-    low = F.col("_outer") * chunk
-    inner = outer.withColumn("_chunk", F.explode(F.sequence(low, F.least(low + CHUNK - 1, last_chunk))))
-    begin = F.col("_first") + F.col("_chunk") * chunk
-    out = inner.withColumn(name, F.explode(F.sequence(begin, F.least(begin + CHUNK - 1, F.col("_last")))))
-    return out.drop("_first", "_last", "_outer", "_chunk")
+    runs = df.withColumns({"_first": first, "_last": last}).filter(F.col("_last") >= F.col("_first"))
+    begun = runs.withColumn("_begin", F.explode(F.sequence("_first", "_last", F.lit(CHUNK).cast("bigint"))))
+    out = begun.withColumn(name, F.explode(F.sequence("_begin", F.least(F.col("_begin") + CHUNK - 1, F.col("_last")))))
+    return out.drop("_first", "_last", "_begin")
 
 
 def spine_bounds(df: DataFrame, width_minutes: int = 5, origin: str = "first_minute") -> Column:
@@ -81,18 +73,6 @@ def scale_event_time(
     return df.withColumn("wall_time", wall)
 
 
-def _gaps_in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Append to each row the arrival before it, null for the first of the range."""
-    last = pa.scalar(None, pa.int64())
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        at = batch.column("_at")
-        previous = pa.concat_arrays([pa.array([last.as_py()], pa.int64()), at[:-1]])
-        last = at[-1]
-        yield pa.RecordBatch.from_arrays([*batch.columns, previous], [*batch.schema.names, "_previous"])
-
-
 def replay_delay(df: DataFrame, factor: float, event_time: str = "arrival_timestamp") -> DataFrame:
     """``delay_seconds`` to wait before each row when replaying in time order.
 
@@ -102,13 +82,14 @@ def replay_delay(df: DataFrame, factor: float, event_time: str = "arrival_timest
     if factor <= 0:
         raise ValueError("factor must be > 0")
     stamped = df.withColumn("_at", F.unix_micros(event_time))
-    ranges = cut_ranges(stamped, [event_time, "query_id"])
-    scanned = scan_ranges(stamped, ranges, _gaps_in_range, [T.StructField("_previous", T.LongType())])
+    # Ranges are dealt out by a hash of their number; several per task even that out.
+    ranges = cut_ranges(stamped, [event_time, "query_id"], per_partition=4)
     # The last arrival of each range, handed to the next one: a row per range.
-    lasts = ranges.number(stamped).groupBy(RANGE_COL).agg(F.max("_at").alias("_last"))
+    lasts = ranges.number(stamped.select(event_time, "query_id", "_at", *ranges.ties)).groupBy(RANGE_COL).agg(F.max("_at").alias("_last"))
     before = lasts.select(RANGE_COL, F.lag("_last").over(Window.orderBy(RANGE_COL)).alias("_before"))
-    joined = scanned.join(F.broadcast(before), RANGE_COL)
-    gap = F.col("_at") - F.coalesce("_previous", "_before", "_at")
+    joined = ranges.number(stamped).join(F.broadcast(before), RANGE_COL)
+    in_range = F.lag("_at").over(Window.partitionBy(RANGE_COL).orderBy(ORDER_COL))
+    gap = F.col("_at") - F.coalesce(in_range, "_before", "_at")
     seconds = F.greatest(gap, F.lit(0)) / F.lit(1e6) / F.lit(float(factor))
     return joined.select(*df.columns, seconds.alias("delay_seconds"))
 

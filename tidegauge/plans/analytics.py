@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidegauge.functions import times
-from tidegauge.operators import baselines, joins, overlap, reports, rollups, timeline, windows
+from tidegauge.operators import baselines, joins, overlap, partials, reports, rollups, timeline, windows
 from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import E, W, events, table, typed_events
 from tidegauge.plans.registry import register
@@ -315,6 +315,27 @@ def _(spark, sf_dir):
     return rollups.rollup_p95(events(spark, sf_dir))
 
 
+@register(
+    "A13_rollup_p95_merged",
+    f"""WITH {E} SELECT {MINUTE} AS window_start, deployment_type, count(*) AS query_count, true AS within FROM e GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    """Percentiles out of merged sketches of five parts, held against the exact ranks."""
+    rows = events(spark, sf_dir)
+    part = F.pmod(F.xxhash64("query_id", "arrival_timestamp"), F.lit(5)).alias("part")
+    stored = partials.minute_partials(rows.select("*", part), ["deployment_type", "part"])
+    p95 = partials.with_percentile(partials.merge_partials(stored))
+    minute = times.bucket_minute(F.col("arrival_timestamp")).alias("window_start")
+    x, value = F.col("percentile_execution_duration_ms"), F.col("execution_duration_ms")
+    ranked = rows.select(minute, "deployment_type", value).join(p95, ["window_start", "deployment_type"])
+    ranks = ranked.groupBy("window_start", "deployment_type", "query_count").agg(
+        F.avg((value < x).cast("int")).alias("below"), F.avg((value <= x).cast("int")).alias("upto")
+    )
+    slack = 0.0165 + 1 / F.col("query_count")
+    within = (F.col("below") - slack <= 0.95) & (F.col("upto") + slack >= 0.95)
+    return ranks.select("window_start", "deployment_type", "query_count", within.alias("within"))
+
+
 A14 = """a14 AS (SELECT deployment_type, instance_id, quantile_cont(cast(running_count AS DOUBLE), 0.95) AS cap_p95
   FROM a7 GROUP BY 1, 2)"""
 

@@ -8,13 +8,14 @@ every query also goes through two restarts.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators import validate
-from tidegauge.plans.analytics import FIVE, MINUTE, SCORED_STATS, STATS, _system_sql, _SYSTEM_COLS
+from tidegauge.plans.analytics import A8, A9, FIVE, MET, MINUTE, SCORED_STATS, STATS, _system_sql, _SYSTEM_COLS
 from tidegauge.plans.ingest import sql_cols
 from tidegauge.plans.mapping import C, E, W, dirty_events, events, table, typed_events
 from tidegauge.plans.registry import register
@@ -252,6 +253,36 @@ def _(spark, sf_dir):
     return _rolled(events(spark, sf_dir), "instance", ["bucket_start", "deployment_type", "instance_id"])
 
 
+def _overlapped(spark: SparkSession, sf_dir: str, by_instance: bool) -> DataFrame:
+    """Overlap buckets over three slices of time, with queries that last from one into the next."""
+    rows = events(spark, sf_dir)
+    first = rows.agg(F.unix_micros(F.date_trunc("minute", F.min("arrival_timestamp")))).first()[0]
+    origin = dt.datetime.fromtimestamp(first / 1e6, dt.timezone.utc)
+
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        return stream_tables.stream_overlap(source, f"{base}/out", f"{base}/checkpoint", by_instance, origin=origin)
+
+    return stream_tables.read_updates(spark, f"{_feed(rows, start)}/out")
+
+
+@register(
+    "A8_overlap_incremental",
+    f"""WITH {E}, {MET}, {A8} SELECT bucket_start, deployment_type, running_count, queued_count,
+      {sql_cols(["scanned_mb", "spilled_mb", "spill_pressure"])} FROM a8""",
+)
+def _(spark, sf_dir):
+    return _overlapped(spark, sf_dir, by_instance=False)
+
+
+@register(
+    "A9_overlap_incremental",
+    f"""WITH {E}, {MET}, {A9} SELECT bucket_start, deployment_type, instance_id, running_count,
+      {sql_cols(["scanned_mb", "spilled_mb"])} FROM a9""",
+)
+def _(spark, sf_dir):
+    return _overlapped(spark, sf_dir, by_instance=True)
+
+
 @register(
     "X5_stream_last_n",
     f"WITH {E} SELECT {sql_cols(CANONICAL_COLS)} FROM e ORDER BY e.arrival_timestamp DESC, e.query_id LIMIT 1000",

@@ -6,6 +6,7 @@ wrote, so a batch repeated after a failure gives the same tables again.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.operators.baselines import DEFAULT_ALPHA, baseline_scores, baselines_and_state
 from tidegauge.operators.dedup import dedup_last_wins
 from tidegauge.operators.joins import replace_buckets
+from tidegauge.operators.overlap import extend_overlap, overlap_rollup_deployment, overlap_rollup_instance
 from tidegauge.operators.partials import finished, merge_partials, minute_partials
 from tidegauge.operators.reports import newest_first
 from tidegauge.streaming.parts import PART_COL, PartTable, part_format
@@ -178,6 +180,36 @@ def stream_updates(
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
+def stream_overlap(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    by_instance: bool = False,
+    divisor: str = "execution",
+    origin: str | dt.datetime = "epoch",
+    seconds: int | None = None,
+) -> StreamingQuery:
+    """Keep the overlap buckets of a stream of queries, five minutes each.
+
+    Each batch adds its queries' shares to the buckets they meet, and reads and writes the
+    days of these buckets only; queries that last over batches are counted once in each
+    bucket (``extend_overlap``). ``origin`` is ``epoch`` or the start of the first bucket.
+    ``read_updates`` gives the buckets.
+    """
+    if origin == "first_minute":
+        raise ValueError("the origin of a stream must be fixed: 'epoch' or a time")
+    rollup = overlap_rollup_instance if by_instance else overlap_rollup_deployment
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        fresh = rollup(batch, divisor, origin).withColumn(PART_COL, F.date_format("bucket_start", part_format("day"))).persist()
+        try:
+            PartTable(batch.sparkSession, path).merge(batch_id, fresh, extend_overlap, ["bucket_start"])
+        finally:
+            fresh.unpersist()
+
+    return _start(df, handle, checkpoint, seconds)
+
+
 def read_updates(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state of every window that ``stream_updates`` keeps."""
+    """The latest state of every window that ``stream_updates`` or ``stream_overlap`` keeps."""
     return PartTable(spark, path).current().drop(PART_COL)

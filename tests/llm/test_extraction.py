@@ -25,6 +25,8 @@ def text(source):
         ("<article><div class='cookie-notice'>c</div><div class='adventure'>kept</div></article>", "kept"),
         ("<article><img alt='a>b'>t</article>", "t"),
         ("a < b and 3 > 2", "a < b and 3 > 2"),
+        ("<p>one <b>two</b>\n\n<i>three</i>\n\nfour</p>\n\n<p>five</p>", "one two three four\n\nfive"),
+        ("<article>a\n\n&#10;&#10;b <b>\n\n</b>c</article>", "a b c"),
         ("", ""),
         ("<script>unclosed", ""),
     ],
@@ -34,21 +36,61 @@ def test_main_text(source, want):
 
 
 @pytest.mark.parametrize("broadcast", [500_000, 0])
-def test_site_template_goes(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(X, "BROADCAST_ROWS", broadcast)
+def test_site_template_goes(spark, broadcast):
     box = "<div class='x1'>Join our club today</div>"
-    rows = [(i, f"http://a.com/{i}", f"<body><div class='t'>Site name</div><p>own text {i}</p><p>said by all</p></body>") for i in range(10)]
+    rows = [(i, f"http://a.com/{i}", f"<body><div class='t'>Site name</div><p>own text {i}</p><p>said by all</p></body>") for i in range(25)]
     rows += [(100 + i, f"http://b.com/{i}", f"<article><p>same</p><p>own {i}</p>{box}</article>") for i in range(10)]
     rows += [(200 + i, f"http://c.com/{i}", "<p>one page in copies</p>") for i in range(10)]
     rows += [(300 + i, f"http://d{i}.com/", f"<p>same on other hosts</p><p>{i}</p>") for i in range(10)]
+    rows += [(400 + i, f"http://e.com/{i}", f"<p>by nineteen</p><p>mine {i}</p>") for i in range(19)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in X.extract_text(pages).collect()}
+    got = {r.page_id: r.text for r in X.extract_text(pages, broadcast_rows=broadcast).collect()}
+    assert got[403] == "by nineteen\n\nmine 3"
     assert got[3] == "own text 3"
     assert got[103] == "same\n\nown 3"
     assert got[203] == "one page in copies"
     assert got[303] == "same on other hosts\n\n3"
 
 
+@pytest.mark.parametrize("pages_of_host", [12, 40, 300])
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_box_goes_however_large_its_host_is(spark, pages_of_host, broadcast):
+    box = lambda i: "<div class='x9'>Only this week</div>" if i < 9 else ""
+    rows = [(i, f"http://a.com/{i}", f"<article><p>own {i}</p>{box(i)}</article>") for i in range(pages_of_host)]
+    rows += [(1000 + i, "http://a.com/0", rows[0][2]) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in X.extract_text(pages, broadcast_rows=broadcast).collect()}
+    assert got == {i: f"own {i % 1000}" if i < 1000 else "own 0" for i, _, _ in rows}
+
+
+def brute_recurring(pages, least_pages, least_small):
+    """(host, hash of a subtree's source) of recurring subtrees, counted page by page from the text itself."""
+    by = {}
+    for host, source in pages:
+        page = X.parse(source)
+        for i in X.candidates(page):
+            e = page.elements[i]
+            by.setdefault((host, " ".join(source[e.start : e.stop].split()), e.tag in X._CONTAINERS), set()).add(X.main_text(page))
+    return {(h, s) for (h, s, large), texts in by.items() if len(texts) >= (least_pages if large else least_small)}
+
+
+def test_recurring_subtrees_against_a_count_of_their_sources(spark):
+    import random
+
+    draw = random.Random(3)
+    parts = [f"<div><p>box {k}</p></div>" for k in range(4)] + [f"<p>line {k}</p>" for k in range(4)] + ["<ul><li>a</li> <li>b</li></ul>", "<h2>Title</h2>"]
+    pages = [(f"h{draw.randrange(2)}", "<body>" + "".join(draw.sample(parts, 3)) + f"<p>own {i}</p></body>") for i in range(60)]
+    frame = spark.createDataFrame(pages, "host string, html string")
+    got = {(r.host, r.subtree) for r in X.recurring_subtrees(frame, 6, 9).collect()}
+    want = set()
+    for host, source in brute_recurring(pages, 6, 9):
+        for h, whole in pages:
+            page = X.parse(whole)
+            at = [i for i in X.candidates(page) if h == host and " ".join(whole[page.elements[i].start : page.elements[i].stop].split()) == source]
+            want.update((host, X.subtree_hashes(page)[i]) for i in at)
+    assert got == want and want
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, "http://x.y/", ""), (3, None, "<p>a</p>"), (3, None, "<p>a</p>"), (None, "no", "<p>" + "w " * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "'y' AS host", "1 AS subtree", "2 AS page_host")

@@ -7,15 +7,16 @@ A page is parsed into a flat list of elements. Main text is what the outermost
   says what they are (menus, headers, footers, sidebars);
 * elements whose class or id begins with a word for such parts, for adverts, notices
   or reader comments;
-* the site's template: element subtrees are hashed, and those found on at least
-  ``LEAST_PAGES`` pages and a ``LEAST_SHARE`` of the pages of their host are deleted.
-  Pages of equal main text count once. Inside an article only containers are deleted,
-  not single paragraphs, headings or lists, since authors repeat themselves.
+* the site's template: element subtrees are hashed, and those found on ``LEAST_PAGES``
+  pages of their host are deleted; single paragraphs, headings and lists, which authors
+  repeat too, only from ``LEAST_SMALL`` pages on, and inside an article never. Pages of
+  equal main text count once. What becomes of a subtree depends on the number of pages
+  that have it, not on how large its host is.
 
-Subtree counts are a Spark aggregation by host and subtree. A recurring subtree takes up
-a share of its host's pages, so a host has few, and they are sent to the second pass by
-a join on the host: broadcast while their counted number is below ``BROADCAST_ROWS``,
-else by a shuffle, which Spark can split where a host is large.
+Subtree counts are a Spark aggregation by host and subtree. While the recurring ones are
+at most ``BROADCAST_ROWS``, by count, every task gets them all. Beyond that the pages'
+subtrees are joined with them, by host and subtree, in narrow rows; a page then gets its
+own list by a hash of its content, so no host is gathered in one place.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined by an empty line in page order. Null and empty pages have an empty
@@ -29,17 +30,17 @@ from __future__ import annotations
 import html as html_module
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegauge.llm.common import fresh_name, stored
 from tidegauge.llm.urls import host_of
 
-LEAST_PAGES = 5
-LEAST_SHARE = 0.1
+LEAST_PAGES, LEAST_SMALL = 5, 20
 #: Up to this many recurring subtrees of all hosts (a host name and a number each) are broadcast.
 BROADCAST_ROWS = 500_000
 
@@ -96,10 +97,10 @@ class Element:
 class Page:
     source: str
     elements: list[Element] = field(default_factory=list)
-    pieces: list[tuple[int, str]] = field(default_factory=list)  # (element, text or mark)
+    pieces: list[tuple[int, str | None]] = field(default_factory=list)  # (element, text, or None at a block's edge)
 
 
-_BREAK, _SPACE = "\n\n", " "
+_SPACE = " "
 
 
 def parse(source: str) -> Page:
@@ -130,7 +131,7 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if tag in _BLOCKS:
-            pieces.append((stack[-1], _BREAK))
+            pieces.append((stack[-1], None))
         elif tag in _SPACING:
             pieces.append((stack[-1], _SPACE))
         if m.group(1):
@@ -192,7 +193,7 @@ def subtree_hashes(page: Page) -> list[int]:
     """
     own: list[list[str]] = [[page.source[e.start : e.body]] for e in page.elements]
     for i, text in page.pieces:
-        own[i].append(text)
+        own[i].append(text or _SPACE)
     below: list[list[bytes]] = [[] for _ in page.elements]
     hashes = [0] * len(page.elements)
     for i in range(len(page.elements) - 1, -1, -1):  # children come after their parents
@@ -228,7 +229,7 @@ def main_text(page: Page, recurring: frozenset[int] | set[int] = frozenset()) ->
             out[i] = out[i] or (e.parent >= 0 and out[e.parent])
     blocks, block = [], []
     for i, text in page.pieces:
-        if text == _BREAK:
+        if text is None:
             blocks.append("".join(block))
             block = []
         elif not out[i] and (not inside or elements[i].main >= 0):
@@ -237,57 +238,92 @@ def main_text(page: Page, recurring: frozenset[int] | set[int] = frozenset()) ->
     return "\n\n".join(filter(None, (" ".join(b.split()) for b in blocks)))
 
 
-def recurring_subtrees(
-    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE
-) -> DataFrame:
-    """``host`` and ``subtree`` of the element subtrees that a host's pages have in common.
+def _page_key(host: Column, source: Column) -> Column:
+    """What pages of equal host and content share."""
+    return F.sha2(F.concat_ws("\0", host, F.coalesce(source, F.lit(""))), 256)
 
-    ``pages`` has ``host`` and ``html``.
+
+def _subtrees(pages: DataFrame) -> DataFrame:
+    """The subtrees of every page that may be a template: ``host``, ``key``, ``subtree``, ``small``, ``page``.
+
+    ``pages`` has ``host``, ``key`` and ``html``; ``page`` is a hash of the main text.
     """
 
     def run(batches):
         for batch in batches:
-            hosts, hashes, texts = [], [], []
-            for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+            out: list[tuple] = []
+            for host, key, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 page = parse(source.as_py() or "")
-                whole = xxhash.xxh64_intdigest(main_text(page)) >> 1
                 chosen = candidates(page)
-                every = subtree_hashes(page) if chosen else []
-                found = {every[i] for i in chosen}
-                hosts += [host] * (len(found) + 1)
-                hashes += [None, *found]  # the first stands for the page
-                texts += [whole] * (len(found) + 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(texts, pa.int64())],
-                names=["host", "subtree", "page"],
-            )
-
-    rows = pages.select("host", "html").mapInArrow(run, "host string, subtree long, page long")
-    counts = rows.groupBy("host", "subtree").agg(F.count_distinct("page").alias("n"))
-    totals = counts.filter("subtree IS NULL").select(F.col("host").alias("h"), F.col("n").alias("total"))
-    enough = (F.col("n") >= least_pages) & (F.col("n") >= F.col("total") * least_share)
-    return counts.filter("subtree IS NOT NULL").join(totals, F.col("host") == F.col("h")).filter(enough).select("host", "subtree")
-
-
-def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out_col: str = "text", **options) -> DataFrame:
+                if not chosen:
+                    continue
+                whole, every = xxhash.xxh64_intdigest(main_text(page)) >> 1, subtree_hashes(page)
+                found = {every[i]: page.elements[i].tag not in _CONTAINERS for i in chosen}
+                out += [(host, key, subtree, small, whole) for subtree, small in found.items()]
+            columns = list(zip(*out)) or [()] * 5
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    names = ["host", "key", "subtree", "small", "page"]
+    return pages.select("host", "key", "html").mapInArrow(run, "host string, key string, subtree long, small boolean, page long")
+
+
+def _recurring(rows: DataFrame, least_pages: int, least_small: int) -> DataFrame:
+    counts = rows.groupBy("host", "subtree", "small").agg(F.count_distinct("page").alias("n"))
+    least = F.when(F.col("small"), least_small).otherwise(least_pages)
+    return counts.filter(F.col("n") >= least).select("host", "subtree").distinct()
+
+
+def recurring_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_small: int = LEAST_SMALL) -> DataFrame:
+    """``host`` and ``subtree`` of the element subtrees that a host's pages have in common.
+
+    ``pages`` has ``host`` and ``html``.
+    """
+    return _recurring(_subtrees(pages.select("host", F.lit("").alias("key"), "html")), least_pages, least_small)
+
+
+def extract_text(
+    pages: DataFrame,
+    url_col: str = "url",
+    html_col: str = "html",
+    out_col: str = "text",
+    least_pages: int = LEAST_PAGES,
+    least_small: int = LEAST_SMALL,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """``pages`` with ``out_col``, the main text, in place of ``html_col``."""
-    host, known = fresh_name(pages, "page_host"), fresh_name(pages, "site_template")
+    host, key, known = (fresh_name(pages, n) for n in ("page_host", "page_key", "site_template"))
     hosted = pages.withColumn(host, host_of(F.col(url_col)))
-    found = recurring_subtrees(hosted.select(F.col(host).alias("host"), F.col(html_col).alias("html")), **options)
-    found = stored(found, "site-templates")
-    # A subtree of a host is on a share of its pages, so a host's list is short.
-    sites = found.groupBy("host").agg(F.collect_list("subtree").alias(known)).withColumnRenamed("host", f"{host}_of")
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        sites = F.broadcast(sites)  # the pages then stay where they are read
-    joined = hosted.join(sites, F.col(host) == F.col(f"{host}_of"), "left").drop(host, f"{host}_of")
-
-    @F.arrow_udf(T.StringType())
-    def text(sources: pa.Array, templates: pa.Array) -> pa.Array:
-        out = []
-        for source, template in zip(sources, templates):
-            source = source.as_py()
-            out.append(main_text(parse(source), frozenset(template.as_py() or ())) if source else "")
-        return pa.array(out, pa.string())
-
-    done = joined.withColumn(out_col, text(F.col(html_col), F.col(known)))
-    return done.drop(known, *([html_col] if html_col != out_col else []))
+    content = _page_key(F.col(host), F.col(html_col))
+    keyed = hosted.select(F.col(host).alias("host"), content.alias("key"), F.col(html_col).alias("html"))
+    # Counting needs no keys, so they are made only for the join.
+    found = stored(recurring_subtrees(keyed, least_pages, least_small), "site-templates")
+    kept = [c for c in [*pages.columns, out_col] if c != html_col or c == out_col]
+    kept = list(dict.fromkeys(kept))
+    few = found.limit(broadcast_rows + 1).collect()
+
+    def text_of(templates: Callable[[pa.Array], Iterator]) -> Callable:
+        @F.arrow_udf(T.StringType())
+        def text(sources: pa.Array, of: pa.Array) -> pa.Array:
+            out = []
+            for source, template in zip(sources, templates(of)):
+                source = source.as_py()
+                out.append(main_text(parse(source), template) if source else "")
+            return pa.array(out, pa.string())
+
+        return text
+
+    if len(few) <= broadcast_rows:
+        by_host: dict[str, set[int]] = {}
+        for r in few:
+            by_host.setdefault(r["host"], set()).add(r["subtree"])
+        sites = pages.sparkSession.sparkContext.broadcast(by_host)
+        text = text_of(lambda hosts: (sites.value.get(h, frozenset()) for h in hosts.to_pylist()))
+        # The pages stay where they are read.
+        return hosted.withColumn(out_col, text(F.col(html_col), F.col(host))).select(*kept)
+    of_page = _subtrees(keyed).select("host", "subtree", "key").distinct()
+    lists = of_page.join(found.hint("merge"), ["host", "subtree"]).groupBy("key").agg(F.collect_list("subtree").alias(known))
+    lists = lists.withColumnRenamed("key", f"{key}_of")
+    joined = hosted.withColumn(key, content).join(lists.hint("merge"), F.col(key) == F.col(f"{key}_of"), "left")
+    text = text_of(lambda found: (frozenset(t.as_py() or ()) for t in found))
+    return joined.withColumn(out_col, text(F.col(html_col), F.col(known))).select(*kept)

@@ -5,7 +5,10 @@ times or more, or single letters set apart (``i d i o t``) is taken as what a
 noisy channel made of a plain word. Each character opens a column of a lattice:
 itself, the letters it may stand for, or nothing (separators and repeated
 letters). Viterbi decoding finds the cheapest path under a character trigram model,
-whose counts are taken over all documents, plus the cost of each substitution.
+whose counts are taken over all documents, plus the cost of each substitution. A token
+with separators is read twice: as one word, and with separators that may also end a
+word, at the model's price, so that a spelled-out sentence falls into its words. Tokens
+and runs of any length are decoded whole, in time linear in them.
 
 Scoring. Words and their beginnings get a weight from labelled documents: the lower
 confidence bound of the log odds of appearing in a toxic document. A document is
@@ -23,6 +26,7 @@ gives none; other columns are not read.
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -47,7 +51,8 @@ LEET = {
 }
 SEPARATORS = " .-_*~·"
 _COST_LEET, _COST_GAP, _COST_REPEAT, _COST_KEEP = 0.7, 0.7, 0.9, 6.0
-_LONGEST = 40
+#: Restored words of tokens up to this length are kept for the next time (longer ones are decoded anew).
+_KEPT = 64
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _EDGE, _OTHER = 0, 27
@@ -60,10 +65,10 @@ for _c, _i in _SYMBOL.items():
 _BYTE_SYMBOL[0x80:0xC0] = -1  # the rest of a character
 _BYTE_SYMBOL[0xC3:] = _OTHER
 
-_STRIP = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "…«»“”„‘’¡¿"
+_STRIP = string.punctuation + "…«»“”„‘’¡¿"
 #: Marks around words that stand for no letter.
 _MARKS = "".join(c for c in _STRIP if c not in LEET)
-_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*~·])[^\W_]\1)(?:[^\W_]\1){0,36}[^\W_](?![^\W_])")
+_SPACED = re.compile(r"(?<![^\W_])[^\W_](?:([ .\-_*~·])[^\W_]\1)(?:[^\W_]\1)*[^\W_](?![^\W_])")
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _INNER = re.compile(r"[^\W\d_][0-9@$!|+(<€£.\-_*~·]+[^\W\d_]|^[0-9@$!|+(<€£]+[^\W\d_]{2}|[^\W\d_]{2}[0-9@$!|+(<€£]+$")
 
@@ -76,13 +81,15 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(_K**3, np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
-                data = text.as_py()
-                if data:
-                    s = _BYTE_SYMBOL[np.frombuffer(data, np.uint8)]
-                    s = np.concatenate([[_EDGE], s[s >= 0], [_EDGE]])
-                    total += np.bincount(s[:-2] * (_K * _K) + s[1:-1] * _K + s[2:], minlength=_K**3) if len(s) > 2 else 0
+                held.append(text.as_py() or b"")
+                size += len(held[-1])
+                if size > _TOGETHER:
+                    total += _trigrams(held)
+                    held, size = [], 0
+        total += _trigrams(held)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["trigram", "n"])
 
@@ -93,6 +100,23 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
     return counts.reshape(_K, _K, _K)
 
 
+#: Bytes of text that are counted together.
+_TOGETHER = 4_000_000
+
+
+def _trigrams(texts: list[bytes]) -> np.ndarray:
+    """Trigrams of each text with an edge before and after it."""
+    if not any(texts):
+        return np.zeros(_K**3, np.int64)
+    # A newline maps to an edge, as any other byte that is no letter does.
+    s = _BYTE_SYMBOL[np.frombuffer(b"".join(b"\n%b\n" % t for t in texts if t), np.uint8)]
+    of = np.repeat(np.arange(sum(map(bool, texts))), [len(t) + 2 for t in texts if t])
+    of, s = of[s >= 0], s[s >= 0].astype(np.int64)
+    whole = of[:-2] == of[2:]
+    codes = s[:-2] * (_K * _K) + s[1:-1] * _K + s[2:]
+    return np.bincount(codes[whole], minlength=_K**3)
+
+
 def trigram_costs(counts: np.ndarray) -> np.ndarray:
     """Negative log probabilities of a symbol after two others, smoothed by shorter histories."""
     single = counts.sum((0, 1)) + 1.0
@@ -103,33 +127,39 @@ def trigram_costs(counts: np.ndarray) -> np.ndarray:
     return -np.log(triple / triple.sum(2, keepdims=True))
 
 
-def restore(token: str, costs: np.ndarray) -> str:
-    """The cheapest plain word behind a lower-case token."""
-    # A state is the last two symbols; a path also carries its letters.
-    paths = {(_EDGE, _EDGE): (0.0, "")}
-    before = ""
+def restore(token: str, costs: np.ndarray, split: bool = False) -> str:
+    """The cheapest plain word behind a lower-case token; with ``split`` words, apart by spaces."""
+    # A state is the last two symbols; a path is a chain of (letter, path before).
+    paths: dict = {(_EDGE, _EDGE): (0.0, None)}
+    before, runs = "", set(_RUN.findall(token))
     for ch in token:
-        options = []
+        options: list[tuple[str, int, float]] = []  # letter written, its symbol (-1: none), cost
         if ch.isalpha():
-            options.append((ch, 0.0))
+            options.append((ch, _SYMBOL.get(ch, _OTHER), 0.0))
             if ch == before:
-                options.append(("", _COST_REPEAT / 3 if ch * 3 in token else _COST_REPEAT))
+                options.append(("", -1, _COST_REPEAT / 3 if ch in runs else _COST_REPEAT))
         else:
-            options += [(c, _COST_LEET) for c in LEET.get(ch, "")]
-            options.append(("", _COST_GAP if ch in SEPARATORS else _COST_KEEP))
+            options += [(c, _SYMBOL[c], _COST_LEET) for c in LEET.get(ch, "")]
+            options.append(("", -1, _COST_GAP if ch in SEPARATORS else _COST_KEEP))
+            if split and ch in SEPARATORS:
+                options.append((" ", _EDGE, _COST_GAP))
         before = ch
         following: dict = {}
-        for (a, b), (cost, text) in paths.items():
-            for out, extra in options:
-                if out:
-                    c = _SYMBOL.get(out, _OTHER)
+        for (a, b), (cost, path) in paths.items():
+            for out, c, extra in options:
+                if c >= 0:
                     state, total = (b, c), cost + extra + costs[a, b, c]
                 else:
                     state, total = (a, b), cost + extra
                 if state not in following or total < following[state][0]:
-                    following[state] = (total, text + out)
+                    following[state] = (total, (out, path) if out else path)
         paths = following
-    return min((cost + costs[a, b, _EDGE], text) for (a, b), (cost, text) in paths.items())[1]
+    _, path = min(((cost + costs[a, b, _EDGE], path) for (a, b), (cost, path) in paths.items()), key=lambda p: p[0])
+    letters = []
+    while path is not None:
+        letter, path = path
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 class Restorer:
@@ -138,12 +168,17 @@ class Restorer:
     def __init__(self, costs: np.ndarray):
         self.costs, self.known = costs, {}
 
-    def _plain(self, token: str) -> str:
+    def _plain(self, token: str) -> tuple[str, ...]:
         found = self.known.get(token)
         if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            found = self.known[token] = restore(token, self.costs)
+            found = {restore(token, self.costs)}
+            if not _SEPARATED.isdisjoint(token):
+                found.update(restore(token, self.costs, split=True).split())
+            found = tuple(found)
+            if len(token) <= _KEPT:
+                if len(self.known) > 200_000:
+                    self.known.clear()
+                self.known[token] = found
         return found
 
     def words(self, text: str) -> set[str]:
@@ -154,26 +189,26 @@ class Restorer:
         # A sign at an end may be a letter or a mark: either end is read both ways.
         signed = {w.strip(_MARKS) for w in tokens} - found
         signed |= {w.lstrip(_STRIP) for w in signed} | {w.rstrip(_STRIP) for w in signed}
-        odd = [w for w in found | signed if not w.isalpha() and 2 < len(w) <= _LONGEST and _INNER.search(w)]
+        odd = {w for w in found | signed if not w.isalpha() and len(w) > 2 and _INNER.search(w)}
         if _RUN.search(low):
-            odd += [w for w in found if len(w) <= _LONGEST and _RUN.search(w)]
-        found.update(map(self._plain, odd))
-        data = np.frombuffer(low.encode(), np.uint8)
-        if _has_spaced(data):
-            found.update(self._plain(m.group()) for m in _SPACED.finditer(low))
+            odd.update(w for w in found if _RUN.search(w))
+        if _may_be_spaced(low):
+            odd.update(m.group() for m in _SPACED.finditer(low))
+        for w in odd:
+            found.update(self._plain(w))
         found.discard("")
         return found
 
 
-_IS_SEP = np.zeros(256, bool)
-_IS_SEP[[ord(c) for c in SEPARATORS if ord(c) < 128]] = True
-_IS_SEP[0xC2] = True  # first byte of a middle dot
+_SEPARATED = frozenset(SEPARATORS)
+_IS_SEP = np.zeros(257, bool)
+_IS_SEP[[ord(c) for c in SEPARATORS]] = True
 
 
-def _has_spaced(data: np.ndarray) -> bool:
-    """Whether two separators enclose a single byte twice in a row, as in spaced words."""
-    sep = _IS_SEP[data]
-    return bool((sep[:-4] & ~sep[1:-3] & sep[2:-2] & ~sep[3:-1] & sep[4:]).any()) or len(data) < 12
+def _may_be_spaced(low: str) -> bool:
+    """Whether one separator stands twice with a single character between, as in every spaced run."""
+    codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return len(codes) > 4 and bool((_IS_SEP[np.minimum(codes[:-2], 256)] & (codes[:-2] == codes[2:])).any())
 
 
 # --- weights -----------------------------------------------------------------

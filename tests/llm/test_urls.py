@@ -49,7 +49,26 @@ def test_verdicts(spark, url, host, path, rule, verdict):
     assert U.judge_urls(pages.limit(0), URL_RULES).count() == 0
 
 
-def test_too_many_rules(spark, monkeypatch):
-    monkeypatch.setattr(U, "MOST_RULES", 1)
-    with pytest.raises(ValueError):
-        U.judge_urls(spark.createDataFrame([("u",)], "url string"), [U.Rule("allow", "a", "/")] * 2)
+def test_the_join_gives_the_verdicts_of_the_trie(spark):
+    draw = random.Random(4)
+    labels, segments = ["a", "b", "com", "ab"], ["", "x", "y", "xy", "é"]
+    host = lambda n: ".".join(draw.choice(labels) for _ in range(draw.randrange(n)))
+    path = lambda n: "".join("/" + draw.choice(segments) for _ in range(draw.randrange(n)))
+    rules = [U.Rule(draw.choice(["allow", "block"]), host(4), path(4)) for _ in range(150)]
+    rows = [(i, None if i % 40 == 0 else f"http://{host(5)}{path(6)}?q", "old") for i in range(400)]
+    pages = spark.createDataFrame([*rows, *rows[:3], (900, "no url", "x"), (901, "http://a/" + "x/" * 3000, "x")], "page_id long, url string, url_verdict string")
+    results = [U.judge_urls(pages, rules), U.judge_urls(pages, rules, most_rules=10), U.judge_urls(pages, spark.createDataFrame(rules))]
+    want, *others = [sorted(map(repr, r.select("page_id", "url", "url_verdict").collect())) for r in results]
+    assert others == [want, want] and len(want) == 405
+    for r in results[1].collect():
+        v = r.url_verdict
+        found = brute(rules, v.host, v.path)
+        assert (v.rule, v.verdict) == ((found.host + found.path, found.verdict) if found else (None, "allow"))
+
+
+def test_no_rules_and_no_pages(spark):
+    none = spark.createDataFrame([], "verdict string, host string, path string")
+    pages = spark.createDataFrame([("http://a/b",), (None,)], "url string")
+    got = [r.url_verdict for r in U.judge_urls(pages, none, default="block").collect()]
+    assert [(v.rule, v.verdict) for v in got] == [(None, "block")] * 2
+    assert U.judge_urls(pages.limit(0), none).count() == 0

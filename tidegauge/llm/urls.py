@@ -6,9 +6,14 @@ fitting rules the longest (host and path together) wins; of two as long, that of
 the longer host; of two with the same host and path, the block entry. URLs that
 no rule fits get the default verdict.
 
+Up to ``MOST_RULES`` rules go to every task as a trie. More rules, or rules in a table,
+are joined: a URL's host endings and path beginnings are looked up as keys, which gives
+the same verdicts.
+
 Null URLs and those without ``://`` have an empty host and path and so fit only
-rules without a host. Repeated rows give one row each; an empty table gives none.
-Columns are read by name, so other columns do not matter.
+rules without a host. URLs of any length are judged whole. Repeated rows give one row
+each; an empty table gives none. A column ``url_verdict`` of the input is replaced; all
+others are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 ALLOW, BLOCK = "allow", "block"
-#: Rules go to every executor in one object; this many take some hundred MB.
+#: Rules of the trie, which goes to every executor; this many take some hundred MB.
 MOST_RULES = 1_000_000
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -83,14 +88,18 @@ class RuleTrie:
         return best
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = ALLOW) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "url", default: str = ALLOW, most_rules: int = MOST_RULES
+) -> DataFrame:
     """``pages`` with a struct ``url_verdict`` (host, path, rule, verdict) added.
 
-    The trie is built on the driver from ``rules`` (at most ``MOST_RULES``, else
-    an error: a larger list belongs in a table to join) and broadcast.
+    ``rules`` is a list, or a table with ``verdict``, ``host`` and ``path``.
     """
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"{len(rules)} rules; the trie takes {MOST_RULES}")
+    if isinstance(rules, DataFrame):
+        return _judge_by_join(pages, rules, url_col, default)
+    if len(rules) > most_rules:
+        table = pages.sparkSession.createDataFrame(rules, "verdict string, host string, path string")
+        return _judge_by_join(pages, table, url_col, default)
     trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
 
     @F.pandas_udf("rule string, verdict string")
@@ -111,3 +120,30 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defaul
         "url_verdict",
         F.struct(host.alias("host"), path.alias("path"), judged["rule"].alias("rule"), judged["verdict"].alias("verdict")),
     )
+
+
+def _judge_by_join(pages: DataFrame, rules: DataFrame, url_col: str, default: str) -> DataFrame:
+    pages = pages.drop("url_verdict")
+    table = rules.select("verdict", *[F.coalesce(c, F.lit("")).alias(c) for c in ("host", "path")])
+    table = table.groupBy("host", "path").agg(F.max(F.col("verdict") == BLOCK).alias("block"))
+    # No more numbers than the longest path has characters.
+    lengths = sorted(r[0] for r in table.select(F.char_length("path")).distinct().collect())
+    url = F.col(url_col)
+    rows = pages.select(F.struct("*").alias("page"), host_of(url).alias("url_host"), path_of(url).alias("url_path"))
+    # Equal URLs are looked up once.
+    labels = F.split("url_host", r"\.")
+    endings = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    begun = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.char_length("url_path"))
+    keys = rows.select("url_host", "url_path").distinct()
+    keys = keys.select("*", F.explode(F.array_distinct(F.concat(endings, F.array(F.lit(""))))).alias("host"))
+    keys = keys.select("*", F.explode(F.transform(begun, lambda n: F.substring(F.col("url_path"), F.lit(1), n))).alias("path"))
+    size = F.char_length("host") + F.char_length("path")
+    best = F.max(F.struct(size, F.char_length("host"), "host", "path", "block")).alias("best")
+    found = keys.join(table, ["host", "path"]).groupBy("url_host", "url_path").agg(best)
+    joined = rows.join(found, ["url_host", "url_path"], "left")
+    verdict = F.when(F.col("best").isNull(), default).when(F.col("best.block"), BLOCK).otherwise(ALLOW)
+    judged = F.struct(
+        F.col("url_host").alias("host"), F.col("url_path").alias("path"),
+        F.concat("best.host", "best.path").alias("rule"), verdict.alias("verdict"),
+    )
+    return joined.select("page.*", judged.alias("url_verdict"))

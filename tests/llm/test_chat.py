@@ -42,6 +42,16 @@ def test_fold_edge_cases(spark):
     assert fold(spark, many)[(1, 0)][1] == "".join(f"{i}," for i in range(500))
 
 
+def test_the_last_named_role_counts(spark):
+    rows = [
+        (1, 1, 0, "delta", "assistant", "a"), (1, 2, 0, "delta", None, "b"), (1, 3, 0, "delta", None, "c"),
+        (1, 4, 1, "message", "user", "x"), (1, 5, 1, "message", None, "y"),
+        (1, 6, 2, "message", None, "z"), (1, 7, 2, "delta", "tool", "!"),
+        (1, 8, 3, "delta", "", "e"), (1, 9, 3, "delta", None, "f"),
+    ]
+    assert fold(spark, rows) == {(1, 0): ("assistant", "abc"), (1, 1): ("user", "y"), (1, 2): ("tool", "z!"), (1, 3): ("", "ef")}
+
+
 PARTS = st.lists(st.sampled_from([*C.CONTROL, "\\", "<", "[", "s>", "/", "a", "\n", "é", "[INST", " "]), max_size=9).map("".join)
 
 

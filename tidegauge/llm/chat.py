@@ -14,8 +14,10 @@ kind, role, text). Sorted by ``seq`` within a conversation the kinds mean:
 texts escaped, and gives the span of the text that a loss is computed on.
 ``read_back`` inverts one rendered turn exactly.
 
-Null texts are empty, null roles an empty role. Null conversation ids are one
-conversation. Events of equal ``seq`` are taken in the order of kind, role and
+Null texts are empty. A turn has the role of its last ``message`` that names one, else the
+last role that any of its events names, as later pieces of a streamed turn often name
+none; without any, the empty role. Null conversation ids are one conversation. A turn of
+any length is put together by one task, which holds its pieces. Events of equal ``seq`` are taken in the order of kind, role and
 text. Turns whose events are all dropped do not appear; an empty log gives no row.
 Repeated delta events append twice: a log that repeats deliveries must be
 de-duplicated first. Other columns are not read.
@@ -60,7 +62,7 @@ def unescape(text: str) -> str:
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages: ``conv_id``, ``turn``, ``role``, ``text``."""
     e = events.select(
-        "conv_id", "seq", "turn", "kind", F.coalesce("role", F.lit("")).alias("role"),
+        "conv_id", "seq", "turn", "kind", F.coalesce("role", F.lit("")).alias("role"), F.col("role").isNotNull().alias("names"),
         F.when(F.col("kind").isin(*SAYING), F.coalesce("text", F.lit(""))).otherwise("").alias("text"),
     )
     place = F.struct("seq", "kind", "role", "text")
@@ -69,12 +71,12 @@ def fold_events(events: DataFrame) -> DataFrame:
     turns = e.groupBy("conv_id", "turn").agg(
         F.max(F.when(F.col("kind").isin(*RESETS), place)).alias("reset"),
         F.max(again).alias("again"),
-        F.max(F.when(F.col("kind") == "message", F.struct("seq", "role"))).alias("named"),
-        F.max(F.struct("seq", "role")).alias("any"),
+        F.max(F.when(F.col("names") & (F.col("kind") == "message"), F.struct("seq", "role"))).alias("named"),
+        F.max(F.when(F.col("names"), F.struct("seq", "role"))).alias("any"),
     )
     turns = turns.withColumn("floor", F.max("again").over(up_to.rowsBetween(Window.unboundedPreceding, -1)))
     turns = turns.select(
-        F.col("conv_id").alias("c"), F.col("turn").alias("t"), "reset", "floor", F.coalesce(F.col("named.role"), F.col("any.role")).alias("by")
+        F.col("conv_id").alias("c"), F.col("turn").alias("t"), "reset", "floor", F.coalesce("named.role", "any.role", F.lit("")).alias("by")
     )
     live = e.join(turns, e.conv_id.eqNullSafe(turns.c) & e.turn.eqNullSafe(turns.t)).filter(
         (F.col("reset").isNull() | (place >= F.col("reset"))) & (F.col("floor").isNull() | (F.col("seq") > F.col("floor")))

@@ -83,6 +83,22 @@ def _(spark, sf_dir):
     return _read(spark, base)
 
 
+@register(
+    "S3_stream_row_groups",
+    "SELECT event_id, ts, user_id, event_type, round(value, 6) AS value, props FROM events",
+)
+def _(spark, sf_dir):
+    """One file of small row groups, in batches of about a fifth of its rows."""
+    base = scratch_path(spark, "stream")
+    rows = table(spark, sf_dir, "events")
+    rows.repartition(1).write.option("parquet.block.size", 16 * 1024).option("parquet.page.size.row.check.min", 10).parquet(f"{base}/in")
+    source = tables.stream_parquet(spark, f"{base}/in", rows.schema, max_rows=max(1, rows.count() // 5))
+    query = sinks.stream_batches(source, f"{base}/out", f"{base}/checkpoint", max_rows=5000, max_seconds=0)
+    query.processAllAvailable()
+    query.stop()
+    return _read(spark, base)
+
+
 @register(
     "S4_stream_kafka_json",
     f"""WITH {E} SELECT 'raw' AS topic, 0 AS partition, count(*) AS messages, 0 AS first_offset,
@@ -347,6 +363,19 @@ def _(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("K1_rolled_files", f"WITH {E} SELECT {sql_cols(RECENT_COLS)} FROM e")
+def _(spark, sf_dir):
+    """Small triggers share files of up to a thousand rows."""
+    rows = events(spark, sf_dir).select(*RECENT_COLS)
+
+    def start(source: DataFrame, base: str) -> StreamingQuery:
+        return stream_tables.stream_rolled_files(source, f"{base}/files", f"{base}/checkpoint", 1000, 3600)
+
+    base = _feed(rows, start)
+    stream_tables.close_files(spark, f"{base}/files", 1000, rows.schema)
+    return spark.read.schema(rows.schema).parquet(f"{base}/files/closed").select(*RECENT_COLS)
+
+
 @register("K1_write_batches_csv", f"WITH {E} SELECT {sql_cols(WAREHOUSE_COLS)} FROM e")
 def _(spark, sf_dir):
     path = scratch_path(spark, "batches")

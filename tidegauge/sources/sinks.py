@@ -15,7 +15,7 @@ BATCH_FORMATS = ("parquet", "csv")
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def _checked_format(fmt: str) -> str:
+def checked_format(fmt: str) -> str:
     if fmt not in BATCH_FORMATS:
         raise ValueError(f"format must be one of {', '.join(BATCH_FORMATS)}")
     return fmt
@@ -30,7 +30,7 @@ def write_batches(df: DataFrame, path: str, max_rows: int, fmt: str = "parquet")
     """Files of at most ``max_rows`` rows each."""
     if max_rows <= 0:
         raise ValueError("max_rows must be > 0")
-    writer = df.write.format(_checked_format(fmt)).mode("append").option("maxRecordsPerFile", max_rows)
+    writer = df.write.format(checked_format(fmt)).mode("append").option("maxRecordsPerFile", max_rows)
     writer.options(**_format_options(fmt)).save(path)
 
 
@@ -47,7 +47,7 @@ def stream_batches(
     if max_rows <= 0:
         raise ValueError("max_rows must be > 0")
     writer = (
-        df.writeStream.format(_checked_format(fmt))
+        df.writeStream.format(checked_format(fmt))
         .option("maxRecordsPerFile", max_rows)
         .option("checkpointLocation", checkpoint)
         .option("path", path)

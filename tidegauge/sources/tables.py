@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegauge.operators.ordered import total_order
+from tidegauge.sources.row_groups import stream_row_groups
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -49,12 +50,24 @@ def scan_parquet(
 
 
 def stream_parquet(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, max_files_per_trigger: int = 1
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    max_files_per_trigger: int = 1,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """The same rows as a stream of bounded batches."""
+    """The same rows as a stream of bounded batches.
+
+    A batch takes some files whole. With ``max_rows`` it takes row groups instead, up to
+    about as many rows, so that one large file makes several batches; then ``path`` is a
+    file or folder, not a pattern, and a trigger that takes what is available once takes
+    one batch (see ``row_groups``).
+    """
     if max_files_per_trigger <= 0:
         raise ValueError("max_files_per_trigger must be > 0")
     schema = schema or spark.read.parquet(path).schema
+    if max_rows is not None:
+        return stream_row_groups(spark, path, schema, max_rows)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 

@@ -7,17 +7,21 @@ wrote, so a batch repeated after a failure gives the same tables again.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegauge import storage
 from tidegauge.operators.baselines import DEFAULT_ALPHA, baseline_scores, baselines_and_state
 from tidegauge.operators.dedup import dedup_last_wins
 from tidegauge.operators.joins import replace_buckets
 from tidegauge.operators.overlap import extend_overlap, overlap_rollup_deployment, overlap_rollup_instance
 from tidegauge.operators.partials import finished, merge_partials, minute_partials
 from tidegauge.operators.reports import newest_first
+from tidegauge.sources.sinks import checked_format, write_batches
 from tidegauge.streaming.parts import PART_COL, PartTable, part_format
 
 BATCH_COL = "batch_id"
@@ -73,6 +77,74 @@ def stream_baselines(
     return _start(df, handle, checkpoint, seconds)
 
 
+def stream_rolled_files(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    max_rows: int,
+    max_seconds: int,
+    fmt: str = "parquet",
+    seconds: int | None = None,
+    now: Callable[[], float] = time.time,
+) -> StreamingQuery:
+    """Files that small triggers share: closed at ``max_rows`` rows, or when ``max_seconds`` old.
+
+    Rows of the triggers since the last close wait under ``path/open``, a run per batch; the
+    batch that meets a limit writes them all into ``path/closed/v=<batch>``, in files of at
+    most ``max_rows``, and a later one deletes the runs. Age is looked at with every trigger
+    that has rows. A state file per batch tells the open runs, and each batch starts from the
+    state before it: one that is repeated writes the same again, and no row is lost or
+    closed twice. ``close_files`` closes what is open when a stream has ended.
+    """
+    if max_rows <= 0 or max_seconds <= 0:
+        raise ValueError("max_rows and max_seconds must be > 0")
+    checked_format(fmt)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _open_state(spark, path, batch_id - 1)
+        batch.write.mode("overwrite").parquet(f"{path}/open/v={batch_id}")
+        rows = spark.read.schema(batch.schema).parquet(f"{path}/open/v={batch_id}").count()
+        runs = [*before["runs"], batch_id] if rows else before["runs"]
+        since = now() if before["since"] is None and rows else before["since"]
+        state = {"runs": runs, "rows": before["rows"] + rows, "since": since, "gone": []}
+        storage.delete(spark, f"{path}/closed/v={batch_id}")
+        if runs and (state["rows"] >= max_rows or now() - state["since"] >= max_seconds):
+            _close(spark, path, batch_id, runs, state["rows"], max_rows, fmt, batch.schema)
+            state = {"runs": [], "rows": 0, "since": None, "gone": runs}
+        storage.write_text(spark, f"{path}/state/{batch_id:020d}.json", json.dumps(state))
+        for run in before["gone"]:
+            storage.delete(spark, f"{path}/open/v={run}")
+        if batch_id >= 2:
+            storage.delete(spark, f"{path}/state/{batch_id - 2:020d}.json")
+
+    return _start(df, handle, checkpoint, seconds)
+
+
+def _open_state(spark: SparkSession, path: str, batch_id: int) -> dict:
+    text = storage.read_text(spark, f"{path}/state/{batch_id:020d}.json") if batch_id >= 0 else None
+    if text is None and batch_id >= 0:
+        raise FileNotFoundError(f"{path} has lost the state of batch {batch_id}")
+    return json.loads(text) if text else {"runs": [], "rows": 0, "since": None, "gone": []}
+
+
+def _close(spark: SparkSession, path: str, batch_id: int, runs: list[int], rows: int, max_rows: int, fmt: str, schema) -> None:
+    waiting = spark.read.schema(schema).parquet(*[f"{path}/open/v={r}" for r in runs])
+    # As many tasks as full files; each cuts its rows at the limit.
+    write_batches(waiting.repartition(-(-rows // max_rows)), f"{path}/closed/v={batch_id}", max_rows, fmt)
+
+
+def close_files(spark: SparkSession, path: str, max_rows: int, schema: T.StructType, fmt: str = "parquet") -> None:
+    """Close what ``stream_rolled_files`` has open; the stream must have ended for good."""
+    names = [n for n in storage.file_names(spark, f"{path}/state") if n.endswith(".json")]
+    last = int(names[-1][: -len(".json")]) if names else -1
+    state = _open_state(spark, path, last)
+    if state["runs"]:
+        _close(spark, path, last + 1, state["runs"], state["rows"], max_rows, fmt, schema)
+        closed = {"runs": [], "rows": 0, "since": None, "gone": state["runs"]}
+        storage.write_text(spark, f"{path}/state/{last + 1:020d}.json", json.dumps(closed))
+
+
 def stream_last_n(
     df: DataFrame, path: str, checkpoint: str, n: int = 1000, seconds: int | None = None
 ) -> StreamingQuery:

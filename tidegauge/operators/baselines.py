@@ -45,7 +45,7 @@ def default_measures() -> dict[str, Column]:
     }
 
 
-def _from_zero(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, alpha: float) -> np.ndarray:
+def smoothed(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, alpha: float) -> np.ndarray:
     """The recurrence over runs of rows, each from its seed.
 
     Finite values are smoothed with infinite ones as 0. From its first infinite
@@ -93,7 +93,7 @@ def _scan_from_zero(key: str, names: Sequence[str], alpha: float):
             if begun and keys[0] == last_key:
                 place[: lengths[0]] += last_place
                 seeds[0] = last
-            smooth = _from_zero(values, starts, lengths, seeds, alpha)
+            smooth = smoothed(values, starts, lengths, seeds, alpha)
 
             begun, last_key, last_place, last = True, keys[-1], int(place[-1]), smooth[-1]
             yield pa.RecordBatch.from_arrays(

@@ -150,12 +150,14 @@ c AS (
   FROM c0 WHERE query_id IS NOT NULL AND arrival_timestamp IS NOT NULL)
 """
 
-# CTE ``scored`` after ``e``: closed form of the baselines, b(n) as a sum of
-# weighted values, and the scores.
-_BASE = (
-    "power(0.95, n) * sum((CASE WHEN n = 1 THEN 1.0 ELSE 0.05 END) * {x} * power(0.95, -n)) "
-    "OVER (PARTITION BY dataset_type ORDER BY n ROWS UNBOUNDED PRECEDING) AS {b}_baseline"
+# CTE ``scored`` after ``e``: the baselines as sums of weighted values, and the scores.
+# Blocks of 1000 rows keep the weights within the doubles. What stood before a block is
+# the end of the one before it: of what lies further back 0.95 ** 1000 = 5e-23 is left.
+_LOCAL = (
+    "power(0.95, pos) * sum((CASE WHEN n = 1 THEN 1.0 ELSE 0.05 END) * {x} * power(0.95, -pos)) "
+    "OVER (PARTITION BY dataset_type, blk ORDER BY n ROWS UNBOUNDED PRECEDING) AS {b}_local"
 )
+_BASE = "{b}_local + power(0.95, pos) * coalesce({b}_before, 0.0) AS {b}_baseline"
 _SCORE = "{x} / (CASE WHEN {b}_baseline > 0 THEN {b}_baseline ELSE 1.0 END) AS {s}"
 _MEASURES = {
     "queue": ("queue_duration_ms", "queue_score"),
@@ -166,6 +168,10 @@ _MEASURES = {
 }
 W = f"""
 n AS (SELECT *, row_number() OVER (PARTITION BY dataset_type ORDER BY arrival_timestamp, query_id) AS n FROM e),
-baselines AS (SELECT *, {", ".join(_BASE.format(x=x, b=b) for b, (x, _) in _MEASURES.items())} FROM n),
+placed AS (SELECT *, (n - 1) // 1000 AS blk, (n - 1) % 1000 + 1 AS pos FROM n),
+begun AS (SELECT *, {", ".join(_LOCAL.format(x=x, b=b) for b, (x, _) in _MEASURES.items())} FROM placed),
+ends AS (SELECT dataset_type AS type, blk + 1 AS next, {", ".join(f"{b}_local AS {b}_before" for b in _MEASURES)} FROM begun WHERE pos = 1000),
+baselines AS (SELECT begun.*, {", ".join(_BASE.format(b=b) for b in _MEASURES)}
+  FROM begun LEFT JOIN ends ON type = dataset_type AND next = blk),
 scored AS (SELECT *, {", ".join(_SCORE.format(x=x, b=b, s=s) for b, (x, s) in _MEASURES.items())} FROM baselines)
 """

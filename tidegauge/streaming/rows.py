@@ -85,7 +85,8 @@ def stream_dedup(
     rows that come no later than ``watermark`` behind the newest one (default: the
     time to live); later rows are dropped. A repeat, kept or not, starts the time anew.
 
-    With the event time among the keys a row is passed on at once. Otherwise the rows
+    With the event time among the keys a row is passed on at once: of repeats that differ in
+    other columns the first to arrive stays, where ``dedup_ttl`` keeps the smallest. Otherwise the rows
     of a key form sessions without a gap over the time to live, and a session's
     first row appears when the watermark has closed the session.
     """

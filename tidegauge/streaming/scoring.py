@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidegauge.operators.baselines import BASELINE_COLS, DEFAULT_ALPHA, _from_zero, baseline_scores, default_measures
+from tidegauge.operators.baselines import BASELINE_COLS, DEFAULT_ALPHA, baseline_scores, default_measures, smoothed
 
 KEY, TIME = "dataset_type", "arrival_timestamp"
 #: Events from here on would take the watermark past all that follow.
@@ -71,7 +71,7 @@ class _Baselines(StatefulProcessor):
         before = self.last.get() if self.last.exists() else None
         # Without a value before start at the first x: a x + (1 - a) x = x.
         seed = values[0] if before is None else np.array(before, dtype=float)
-        smooth = _from_zero(values, np.array([0]), np.array([len(values)]), seed[None], self.alpha)
+        smooth = smoothed(values, np.array([0]), np.array([len(values)]), seed[None], self.alpha)
         self.last.update(tuple(float(v) for v in smooth[-1]))
         for i, name in enumerate(self.names):
             rows[f"{name}_baseline"] = smooth[:, i]

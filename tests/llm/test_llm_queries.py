@@ -109,3 +109,13 @@ def test_op12(spark):
     said = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()]
     got = {r.conv_id: tuple(r)[1:] for r in rows(spark, "op12_conversation_repair")}
     assert got == test_repair.brute_all(test_repair.brute_damage(said))
+
+
+@pytest.mark.parametrize("name, label, rest, divisor", [("op4_quality", "quality", 2, 4), ("op7_toxicity", "toxic", 1, 3)])
+def test_held_out_accuracy(spark, name, label, rest, divisor):
+    """On labels that the model has not learned from."""
+    folder = SF_DIR.replace("0.001", "0.01")
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    got = [(r.predicted, labels[r.doc_id]) for r in QUERIES[name](spark, folder).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    right = sum(p == y for p, y in got)
+    assert len(got) > 50 and right / len(got) >= 0.95

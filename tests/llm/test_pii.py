@@ -81,7 +81,7 @@ def test_disguises_map_back_to_the_source(before, span, after, kind):
 
 @pytest.mark.parametrize(
     "text",
-    ["look at example.com today", "meet at the dot", "one, two, three dots", "un deux trois soleil", "größer (at) home", "1, 2, 3, 4 and 5", "x at y", "привет мир", "am Punkt. Net"],
+    ["look at example.com today", "meet at the dot", "one, two, three dots", "un deux trois soleil", "größer (at) home", "1, 2, 3, 4 and 5", "x at y", "привет мир", "am Punkt. Net", "un 4 5 6", "one 12 34 56 78 90 12", "plus 100 200 300 400"],
 )
 def test_clean_texts(text):
     assert P.find_spans(text) == []
@@ -135,3 +135,59 @@ _NUMBER = "four one one one one one one one one one one one one one one one"
 def test_every_accepted_form_is_looked_at(text, kind):
     assert [s.kind for s in P.find_spans(text) if s.disguised] == [kind]
     assert f"[{kind.upper()}]" in P.redact(text)
+
+
+def test_a_long_name_is_taken_whole():
+    name = "a.b_c-d%" * 25 + "z"
+    for text in (f"to {name} [at] example.com", f"to {name} at example dot com", f"to {name.replace('.', ' dot ')} (at) example (dot) com"):
+        spans = [s for s in P.find_spans(text) if s.disguised]
+        assert [(s.kind, s.start, s.stop) for s in spans] == [("email", 3, len(text))]
+        assert P.redact(text) == "to [EMAIL]"
+
+
+@pytest.mark.parametrize(
+    "before, span, after, kind",
+    [
+        ("host ", "192 dot 168 dot one dot five", " up", "ip"),
+        ("host ", "192.168.one.5", "", "ip"),
+        ("card ", "four 111 1111 1111 1111", " ok", "card"),
+        ("card ", "4111 1111 1111 111 one", ".", "card"),
+        ("call ", "+49 30 1234567 acht", " an", "phone"),
+        ("", "plus 49 drei 0 1234567", "", "phone"),
+    ],
+)
+def test_one_spelled_digit_is_enough(before, span, after, kind):
+    found = [s for s in P.find_spans(before + span + after) if s.disguised]
+    assert found == [P.Span(kind, len(before), len(before) + len(span), True)]
+
+
+def test_names_begin_where_the_pattern_says():
+    """Against the pattern of a name, on short texts."""
+    import random
+
+    draw = random.Random(6)
+    name = re.compile(rf"(?:[A-Za-z0-9%+-][A-Za-z0-9_%+-]*(?:\.|{P._HIDDEN_DOT}))*[A-Za-z0-9%+-][A-Za-z0-9_%+-]*\Z", re.IGNORECASE)
+    for _ in range(20_000):
+        text = "".join(draw.choice(["a", "b1", "_", ".", " dot ", "[.]", " ", "-", "é", "(punkt)"]) for _ in range(draw.randrange(9)))
+        found = name.search(text)
+        joints = list(P._DOT.finditer(text))
+        if any(a.end() == b.start() for a, b in zip(joints, joints[1:])) or re.search(r"[ _-]{2}", text):
+            continue  # signs that two joints could share
+        assert P._name_start(text, len(text), 0, P._hidden_dots(text)) == (found.start() if found else len(text)), text
+
+
+def test_every_spelled_number_passes_the_check():
+    import random
+
+    draw = random.Random(7)
+    parts = ["one", "Four", "fünf", "12", "3", " ", "-", ", ", " dot ", " punkt ", "plus ", "x", ".", "a1", "(", "null"]
+    for _ in range(30_000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(4, 16)))
+        spelled = any(any(p["digit"] for p in P._SPELLED_PART.finditer(text, *r.span())) for r in P._SPELLED.finditer(text))
+        words = P._WORD.findall(text.translate(P._FOLD).lower())
+        assert not spelled or P._SOME_SPELLED.search("".join(map(P._letter, words))), text
+
+
+@pytest.mark.parametrize("text, span", [("tel +1 (848) 555-1373 Un an", (4, 21)), ("tel +1 (848) 555-1373, one more", (4, 21))])
+def test_an_article_beside_a_number_is_no_digit(text, span):
+    assert P.find_spans(text) == [P.Span("phone", *span, False)]

@@ -9,6 +9,10 @@ every character it writes, the source characters it came from, so a span found i
 the copy is mapped back to the source. Plain spans always stay; a span of the copy is
 added if something in it was rewritten and no plain span of its kind covers it.
 
+A spelled number is four or more numbers and spelled digits in a row, at least one of
+them spelled; it counts if what it says is a card, phone or IP number. Names of any
+length are taken whole. Of spans of one kind that start together the longer comes last.
+
 Offsets count code points; ends are exclusive. Null and empty texts have no spans.
 Time and memory are linear in the text. Repeated rows are searched each; an empty
 table gives none; other columns are not read.
@@ -189,10 +193,8 @@ _AT = re.compile(
 _HIDDEN_DOT = rf"(?:{_OPEN}(?:{_DOT_WORDS}|\.){_CLOSE}|[ \t_-]+(?:{_DOT_WORDS})[ \t_-]+)"
 _DOT = re.compile(_HIDDEN_DOT, re.IGNORECASE)
 _DOMAIN = re.compile(rf"[A-Za-z0-9-]{{1,63}}(?:(?:\.|{_HIDDEN_DOT})[A-Za-z0-9-]{{1,63}})+", re.IGNORECASE)
-_NAME = re.compile(rf"(?:[A-Za-z0-9%+-][A-Za-z0-9_%+-]*(?:\.|{_HIDDEN_DOT}))*[A-Za-z0-9%+-][A-Za-z0-9_%+-]*\Z", re.IGNORECASE)
+_NAME_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 _TLD = re.compile(rf"(?:{_TLDS})\Z", re.IGNORECASE)
-#: A name before a disguised @ is looked for in this many characters (the standard allows 64).
-_NAME_REACH = 120
 
 _DIGIT = "|".join(sorted(DIGIT_WORDS, key=lambda w: (-len(w), w)))
 _GAP = r"[ \t,./()-]{0,4}"
@@ -203,6 +205,11 @@ _SPELLED = re.compile(
 )
 _SPELLED_PART = re.compile(rf"(?P<plus>plus\b[ \t]*|\+[ \t]*)|(?P<dot>[ \t]+(?:{_DOT_WORDS})[ \t]+)|(?P<digit>(?<![^\W_])(?:{_DIGIT})(?![^\W_]))|(?P<gap>[ \t,./()-]+)", re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+")
+# Spelled digits that are articles as well.
+_ARTICLES = frozenset(("un", "uno", "one"))
+_DOT_WORD = frozenset(_DOT_WORDS.split("|"))
+#: Four numbers or spelled digits in a row, dots between; one spelled digit among them.
+_SOME_SPELLED = re.compile(r"(?=[nd.]*n)(?:[nd]\.*){4}")
 #: Letters that match s and i where case is ignored.
 _FOLD = str.maketrans("ſıİ", "sii")
 #: What every rewritten address has: a hidden @ in any form but a word, or a hidden dot. (A word needs a dot as well.)
@@ -211,14 +218,54 @@ _HIDDEN = re.compile(
 )
 
 
+def _name_start(text: str, stop: int, low: int, dots: dict[int, int]) -> int:
+    """Where the name that ends at ``stop`` begins: runs of its signs, joined by dots, plain or hidden.
+
+    ``dots`` has the start of each hidden dot by its end. A run does not begin with ``_``.
+    """
+    start = stop
+    while True:
+        at = start
+        while at > low and text[at - 1] in _NAME_SIGNS:
+            at -= 1
+        while at < start and text[at] == "_":
+            at += 1
+        if at == start:
+            break
+        start = at
+        joint = start - 1 if start > low and text[start - 1] == "." else dots.get(start, -1)
+        if joint <= low or text[joint - 1] not in _NAME_SIGNS:
+            break
+        before = joint
+        while before > low and text[before - 1] in _NAME_SIGNS:
+            before -= 1
+        if text[before:joint].strip("_") == "":
+            break
+        start = joint
+    return start
+
+
+def _hidden_dots(text: str) -> dict[int, int]:
+    """The start of each hidden dot by its end; blanks before it are its own, also those that end another."""
+    found = {}
+    for d in _DOT.finditer(text):
+        start = d.start()
+        while start and text[start - 1] in " \t":
+            start -= 1
+        found[d.end()] = start
+    return found
+
+
 def _addresses(m: Mapped) -> Mapped:
     """Hidden signs of e-mail addresses written out, and hidden dots of IP addresses."""
     edits, last = [], 0
+    hidden = _hidden_dots(m.text)
     for at in _AT.finditer(m.text):
         domain = _DOMAIN.match(m.text, at.end())
-        low = max(last, at.start() - _NAME_REACH)
-        name = _NAME.search(m.text[low : at.start()])
-        if not domain or not name:
+        if not domain:
+            continue
+        start = _name_start(m.text, at.start(), last, hidden)
+        if start == at.start():
             continue
         dots = list(_DOT.finditer(m.text, at.end(), domain.end()))
         end = domain.group().rsplit(".", 1)[-1] if not dots else m.text[max(dots[-1].end(), m.text.rfind(".", at.end(), domain.end()) + 1) : domain.end()]
@@ -226,7 +273,7 @@ def _addresses(m: Mapped) -> Mapped:
             continue  # "look at example.com" is no address
         if dots and not at["sure"] and not _TLD.match(end):
             continue
-        before = list(_DOT.finditer(m.text, low + name.start(), at.start())) if not at["word"] or dots else []
+        before = list(_DOT.finditer(m.text, start, at.start())) if not at["word"] or dots else []
         own = [(d.start(), d.end(), ".") for d in before]
         if not at["plain"]:
             own.append((at.start(), at.end(), "@"))
@@ -250,10 +297,13 @@ def _numbers(m: Mapped, tight: bool) -> Mapped:
                 new = DIGIT_WORDS[p.group().translate(_FOLD).lower()]
             else:
                 plain = p.group() == "-" or "(" in p.group() or ")" in p.group()
-                new = "" if tight else p.group() if plain else " "
+                # A full stop beside a number written in digits is that of an address.
+                beside = m.text[p.start() - 1 : p.start()] + m.text[p.end() : p.end() + 1]
+                stop = p.group() == "." and any(c in "0123456789" for c in beside)
+                new = ("." if stop else "") if tight else p.group() if plain else " "
             if new != p.group():
                 own.append((p.start(), p.end(), new))
-        if sum(new.isdigit() for _, _, new in own) > 2:
+        if any(new.isdigit() for _, _, new in own):
             edits += own
     return m.rewrite(edits)
 
@@ -265,6 +315,13 @@ def _hidden_ips(m: Mapped) -> Mapped:
     return m.rewrite(edits)
 
 
+def _letter(word: str) -> str:
+    """What a word may be in a spelled number: a spelled digit, digits, a dot, or no part of it."""
+    if word in DIGIT_WORDS:
+        return "n"
+    return "." if word in _DOT_WORD else "d" if word.isascii() and word.isdigit() else "x"
+
+
 def disguised_spans(text: str) -> dict[str, set[tuple[int, int]]]:
     """Source spans found only after normalisation."""
     found: dict[str, set[tuple[int, int]]] = {k: set() for k in KINDS}
@@ -272,7 +329,7 @@ def disguised_spans(text: str) -> dict[str, set[tuple[int, int]]]:
     base = _characters(Mapped.of(text)) if unusual else Mapped.of(text)
     hidden = _HIDDEN.search(base.text)
     words = _WORD.findall(base.text.translate(_FOLD).lower() if unusual or not text.isascii() else text.lower())
-    spelled = sum(map(DIGIT_WORDS.__contains__, words)) > 2  # as many as _numbers asks for, wherever they are
+    spelled = not DIGIT_WORDS.keys().isdisjoint(words) and _SOME_SPELLED.search("".join(map(_letter, words)))
     copies: list[tuple[Mapped, tuple[str, ...]]] = []
     if hidden:
         copies.append((_addresses(base), ("email",)))
@@ -293,6 +350,14 @@ def disguised_spans(text: str) -> dict[str, set[tuple[int, int]]]:
     return found
 
 
+def _adds_an_article(text: str, span: tuple[int, int], own: list[tuple[int, int]], i: int) -> bool:
+    """Whether ``span`` is a plain one with a word beside it that is a digit, but more often an article."""
+    for a, b in own[max(0, i - 1) : i + 1]:
+        if span[0] <= a and b <= span[1]:
+            return (text[span[0] : a] + text[b : span[1]]).strip(" \t,./()-").lower() in _ARTICLES
+    return False
+
+
 def find_spans(text: str) -> list[Span]:
     """All spans, by kind, then start, then end."""
     plain, hidden = plain_spans(text), disguised_spans(text)
@@ -301,6 +366,7 @@ def find_spans(text: str) -> list[Span]:
         own = plain[kind]
         starts = [a for a, _ in own]
         added = [s for s in hidden[kind] if not (i := bisect_right(starts, s[0])) or own[i - 1][1] < s[1]]
+        added = [s for s in added if not _adds_an_article(text, s, own, bisect_right(starts, s[0]))]
         out += sorted([*(Span(kind, a, b, False) for a, b in own), *(Span(kind, a, b, True) for a, b in added)], key=lambda s: s[1:])
     return out
 

@@ -165,3 +165,14 @@ def test_recent_rollups_cut_on_the_window_start(make_events):
 def test_recent_events_ties(make_events):
     events = make_events([{"query_id": q, "arrival_timestamp": T0} for q in "cab"])
     assert [r["query_id"] for r in reports.recent_events(events, 2).collect()] == ["a", "b"]
+
+
+def test_percentiles_read_their_input_once(spark, make_events):
+    """Counts of equal values are shuffled once, and both passes read that shuffle."""
+    rows = make_events([{"execution_duration_ms": i % 7} for i in range(50)])
+    out = rollups.rollup_p95(rows)
+    assert out.count() > 0
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") + plan.count("Scan parquet")
+    assert scans == 1 or "ReusedExchange" in plan

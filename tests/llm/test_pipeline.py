@@ -76,3 +76,15 @@ def test_empty_documents(spark, folder, make_docs):
     docs = make_docs([])
     for _, stage in C.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_clashing_columns_and_edge_texts(spark, folder, edge_docs):
+    docs = edge_docs
+    for name, stage in C.STAGES:
+        out = stage(spark, docs, folder)
+        if name == "packing":
+            assert out.filter("doc_tokens < 1").count() == 0 and out.count() > 0
+        else:
+            assert out.columns == edge_docs.columns
+            docs = edge_docs if name == "quality" else out
+            assert 0 < docs.count() <= edge_docs.count()

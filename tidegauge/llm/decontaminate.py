@@ -24,7 +24,8 @@ its counted size is below ``BROADCAST_ROWS``; beyond it Spark joins by shuffle.
 Null and empty texts have no shingle, and such items match nothing. Items of fewer than
 five words match only documents that consist of exactly these words. Rows that repeat
 id and text are reported once; null ids are kept; items with equal texts are all
-reported. Empty tables give no match. Columns are read by name, so others do not matter.
+reported. Texts of any length are searched whole. Empty tables give no match. Columns
+are read by name, so others do not matter.
 """
 
 from __future__ import annotations

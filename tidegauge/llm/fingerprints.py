@@ -13,7 +13,9 @@ their order, and paragraphs are added or removed without reading the rest.
 
 Paragraphs are the pieces between line feeds, empty ones too; a null or empty text has
 none and the zero fingerprint. Counts beyond 2**15 in one place wrap, which only the
-likeness of very long monotonous texts can feel.
+likeness of very long monotonous texts can feel. Ids are whole numbers or null, nulls
+first; rows of one id follow a hash of their texts, and repeated rows are rows of their
+own. An empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations

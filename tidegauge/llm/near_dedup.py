@@ -20,7 +20,8 @@ How links are found, without losing one and without all pairs of a group:
 
 Null and empty texts have fingerprint zero, like texts of white space. Repeated
 rows give one row each. A null id never names a component; a component without
-any id has a null one. Other columns, whatever their names, are not read.
+any id has a null one. Texts of any length are hashed whole, in time linear in them. An
+empty table gives none. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -1,0 +1,18 @@
+"""How the registered streams are fed, and what they hand back."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_messages_come_back_with_their_events(spark):
+    rows = entry.queries()["S4_stream_kafka_json"](spark, SF_DIR)
+    n = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    got = rows.collect()
+    assert len(got) == n and {r["messages"] for r in got} == {n}
+    assert {"query_id", "execution_duration_ms", "queued"} <= set(rows.columns)

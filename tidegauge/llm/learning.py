@@ -1,7 +1,9 @@
-"""Bounded label samples and small linear models, fitted on the driver."""
+"""Label samples, linear models fitted on the driver or by passes over a table, and exact ranks."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
@@ -49,3 +51,49 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
         if before - now < 1e-9 * max(1.0, before):
             break
     return w
+
+
+def fit_newton(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], size: int, ridge: float) -> np.ndarray:
+    """Weights of least loss by damped Newton steps; ``evaluate`` gives loss, gradient and curvature at a point.
+
+    Every call may be a pass over a table: a step that is taken needs no second one.
+    """
+
+    def at(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        loss, gradient, curvature = evaluate(v)
+        return loss + 0.5 * ridge * v @ v, gradient + ridge * v, curvature + ridge * np.eye(size)
+
+    w = np.zeros(size)
+    now, gradient, curvature = at(w)
+    for _ in range(50):
+        step, share = np.linalg.solve(curvature, gradient), 1.0
+        found = at(w - step)
+        while found[0] > now and share > 1e-4:
+            share /= 2
+            found = at(w - share * step)
+        if found[0] >= now:
+            break
+        w, before = w - share * step, now
+        now, gradient, curvature = found
+        if before - now < 1e-9 * max(1.0, before):
+            break
+    return w
+
+
+def value_at_rank(df: DataFrame, column: str, rank: int, bins: int = 4096, few: int = 100_000) -> float:
+    """The value with ``rank`` smaller rows before it, exactly: bins are counted, and the one that holds it is cut anew."""
+    rows = df.select(F.col(column).alias("v"))
+    while True:
+        n, low, high = rows.agg(F.count("v"), F.min("v"), F.max("v")).first()
+        if n <= few:
+            return float(np.sort(rows.toArrow().column(0).to_numpy())[rank])
+        if low == high:
+            return float(low)
+        place = F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))
+        held = None
+        for at, count in sorted(tuple(r) for r in rows.groupBy(place.alias("at")).count().collect()):
+            if rank < count:
+                held = at
+                break
+            rank -= count
+        rows = rows.filter(place == held)

@@ -8,8 +8,11 @@ quantile of the training strengths: the share of label 0 among the labels. The
 score is the logistic function of the distance, shifted so that the quantile has
 score 0.7; documents at or above it are good.
 
-Fitting reads about ``PER_CLASS`` labelled documents of either label, chosen by a
-hash of the id; everything else reads all documents. Null and empty texts have
+Fitting reads every labelled document. Their features are computed once and dealt to
+groups of about ``GROUP`` by a hash of the id, into which the rarer label goes often enough
+for each to have some; in a group each document meets ``MEETINGS`` or more of the other
+label. Means, losses and ranks are sums over all groups, a pass over the stored features
+each. Null and empty texts have
 the features of an empty text and are scored like others. If a label is missing
 altogether there are no pairs and all documents score 0.7. Texts of any length are
 read whole; documents of equal strength have equal scores. Repeated rows are scored each; an empty table gives none; other columns are not read.
@@ -26,11 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegauge.llm.common import fresh_name
-from tidegauge.llm.learning import fit_logistic, label_sample, sigmoid
+from tidegauge.llm.common import fresh_name, remove, stored
+from tidegauge.llm.learning import fit_newton, sigmoid, value_at_rank
 
-PER_CLASS = 6_000
+#: Documents of a group, of these at least of the rarer label, and meetings of a document.
+GROUP, RARER, MEETINGS = 4_096, 64, 16
+#: All pairs together weigh as much as so many.
 PAIRS = 60_000
+RIDGE = 20.0
+#: Labelled ids that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 THRESHOLD = 0.7
 
 # Groups of bytes whose shares are features.
@@ -102,45 +110,126 @@ def _feature_rows(texts: pa.Array) -> np.ndarray:
     return np.array([text_features(t.as_py() or b"") for t in texts.cast(pa.binary())]).reshape(-1, N_FEATURES)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
-    """Fit on the labelled documents; ``labels`` has ``doc_id`` and the label."""
-    chosen = label_sample(labels, label_col, per_class).withColumnRenamed("doc_id", "labelled_id")
+def _labelled_features(docs: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
+    """``label_id``, ``label`` and ``features`` of every labelled document."""
+    label = F.col(label_col).cast("int")
+    known = labels.select(F.col("doc_id").alias("label_id"), label.alias("label"))
+    known = known.filter(F.col("label_id").isNotNull() & F.col("label").isin(0, 1))
 
     def run(batches):
         for batch in batches:
-            rows = _feature_rows(batch.column(0))
-            flat = pa.array(rows.ravel())
-            offsets = pa.array(np.arange(0, flat.__len__() + 1, N_FEATURES, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.ListArray.from_arrays(offsets, flat)], names=["label", "features"]
-            )
-
-    # At most a few rows per class and id: small enough to send to every executor.
-    joined = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
-    table = joined.select("text", "label").mapInArrow(run, "label int, features array<double>").toArrow()
-    y = table.column("label").to_numpy()
-    x = np.array(table.column("features").to_pylist()).reshape(-1, N_FEATURES)
-    order = np.lexsort([*x.T, y])  # the same fit however rows arrive
-    x, y = x[order], y[order]
-    if len(set(y.tolist())) < 2:
+            flat = pa.array(_feature_rows(batch.column("text")).ravel())
+            offsets = pa.array(np.arange(0, len(flat) + 1, N_FEATURES, dtype=np.int32))
+            kept = [batch.column(c) for c in range(batch.num_columns - 1)]
+            names = [*batch.schema.names[:-1], "features"]
+            yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(offsets, flat)], names=names)
+
+    of = docs.select("doc_id", "text")
+    same = F.col("doc_id") == F.col("label_id")
+    kind = of.schema["doc_id"].dataType.simpleString()
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        joined = of.join(F.broadcast(known), same).select("label_id", "label", "text")
+        kind = known.schema["label_id"].dataType.simpleString()
+        return joined.mapInArrow(run, f"label_id {kind}, label int, features array<double>")
+    # Features are far shorter than texts: these stay where they are.
+    features = of.mapInArrow(run, f"doc_id {kind}, features array<double>")
+    return features.join(known, same).select("label_id", "label", "features")
+
+
+def _grouped(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """A row per group: ``good`` and ``bad``, the features of its documents, in an order of their own."""
+    groups = -(-sum(counts.values()) // GROUP)
+    rarer = min(counts, key=lambda k: (counts[k], k))
+    copies = min(groups, max(1, -(-RARER * groups // counts[rarer])))
+    first = F.pmod(F.xxhash64("label_id"), F.lit(groups))
+    places = F.when(F.col("label") == rarer, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
+    # Copies go to groups next to each other, so that none gets one twice.
+    dealt = rows.select("label", "features", first.alias("first"), F.explode(places).alias("place"))
+    dealt = dealt.select(((F.col("first") + F.col("place")) % groups).alias("team"), "label", "features")
+
+    def run(table: pa.Table) -> pa.Table:
+        y = table.column("label").to_numpy()
+        x = table.column("features").combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES)
+        order = np.lexsort([*x.T, y])  # the same pairs however rows arrive
+        x, y = x[order], y[order]
+        x = x[mixed := np.random.default_rng(0).permutation(len(y))]
+        y = y[mixed]
+        return pa.table({"good": pa.array([x[y == 1].tobytes()], pa.binary()), "bad": pa.array([x[y == 0].tobytes()], pa.binary())})
+
+    return dealt.groupBy("team").applyInArrow(run, "good binary, bad binary")
+
+
+def _sums(rows: DataFrame, of_batch) -> np.ndarray:
+    """The sum of ``of_batch`` over all Arrow batches of ``rows``; a task sends one row."""
+
+    def run(batches):
+        total = 0.0
+        for batch in batches:
+            if batch.num_rows:
+                total = total + of_batch(batch)
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tolist()], pa.list_(pa.float64()))})
+
+    return np.sum([r[0] for r in rows.mapInArrow(run, "sums array<double>").collect()], axis=0)
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("features").flatten().to_numpy().reshape(-1, N_FEATURES)
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality") -> QualityModel:
+    """Fit on all labelled documents; ``labels`` has ``doc_id`` and the label."""
+    rows = stored(_labelled_features(docs, labels, label_col), "quality-features")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        remove(rows)
         return QualityModel(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0)
-    mean, scale = x.mean(0), x.std(0)
+    n = sum(counts.values())
+    mean = _sums(rows, lambda b: _matrix(b).sum(0)) / n
+    scale = np.sqrt(_sums(rows, lambda b: ((_matrix(b) - mean) ** 2).sum(0)) / n)
     scale[scale < 1e-9] = 1.0
-    z = np.clip((x - mean) / scale, -8, 8)
-    draw = np.random.default_rng(0)
-    good, bad = z[y == 1], z[y == 0]
-    pairs = good[draw.integers(len(good), size=PAIRS)] - bad[draw.integers(len(bad), size=PAIRS)]
+    teams = stored(_grouped(rows, counts), "quality-groups")
+
+    def pairs(good: bytes, bad: bytes) -> np.ndarray:
+        g, b = (np.clip((np.frombuffer(v).reshape(-1, N_FEATURES) - mean) / scale, -8, 8) for v in (good, bad))
+        if not len(g) or not len(b):
+            return np.zeros((0, N_FEATURES))
+        most, least = max(len(g), len(b)), min(len(g), len(b))
+        # Whoever is in the smaller half meets as many, in turn: none is left out.
+        at = np.arange(most)
+        turns = [(at + least * k // MEETINGS) % least for k in range(MEETINGS)]
+        return np.concatenate([(g - b[t]) if len(g) == most else (g[t] - b) for t in turns])
+
+    def evaluate(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def of_batch(batch: pa.RecordBatch) -> np.ndarray:
+            total = np.zeros(2 + N_FEATURES + N_FEATURES**2)
+            for good, bad in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                x = pairs(good, bad)
+                m = x @ w
+                p = sigmoid(m)
+                total += np.concatenate([[len(x), np.logaddexp(0.0, -m).sum()], x.T @ (p - 1), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+            return total
+
+        total = _sums(teams, of_batch)
+        total = total[1:] * (PAIRS / max(1.0, total[0]))
+        return float(total[0]), total[1 : 1 + N_FEATURES], total[1 + N_FEATURES :].reshape(N_FEATURES, N_FEATURES)
+
     # Each pair once with either side first would only double the loss.
-    weights = fit_logistic(pairs, np.ones(PAIRS), ridge=20.0)
-    # The sample holds more of the rarer label than the labels do: weigh it back.
+    weights = fit_newton(evaluate, N_FEATURES, RIDGE)
+
+    def strengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"strength": np.clip((_matrix(batch) - mean) / scale, -8, 8) @ weights})
+
+    # The quantile is that of the labels, also of those without a document.
     known = labels.select(F.col(label_col).cast("int").alias("y")).filter(F.col("y").isin(0, 1))
     share = known.agg(F.avg(1 - F.col("y"))).first()[0]
-    strengths = z @ weights
-    order = np.argsort(strengths, kind="stable")
-    mass = np.where(y == 0, share / (y == 0).sum(), (1 - share) / (y == 1).sum())[order].cumsum()
-    at = int(np.searchsorted(mass, share))
-    low, high = strengths[order[min(at, len(y) - 1)]], strengths[order[min(at + 1, len(y) - 1)]]
-    return QualityModel(mean, scale, weights, float((low + high) / 2))
+    strong = stored(rows.mapInArrow(strengths, "strength double"), "quality-strengths")
+    rank = min(max(1, round(share * n)), n - 1)
+    cut = (value_at_rank(strong, "strength", rank - 1) + value_at_rank(strong, "strength", rank)) / 2
+    for table in (rows, teams, strong):
+        remove(table)
+    return QualityModel(mean, scale, weights, float(cut))
 
 
 def quality_score(model: QualityModel, text: Column) -> Column:

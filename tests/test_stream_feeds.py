@@ -16,3 +16,12 @@ def test_messages_come_back_with_their_events(spark):
     got = rows.collect()
     assert len(got) == n and {r["messages"] for r in got} == {n}
     assert {"query_id", "execution_duration_ms", "queued"} <= set(rows.columns)
+
+
+def test_row_groups_share_tasks(monkeypatch):
+    from tidegauge.sources import row_groups as R
+
+    monkeypatch.setattr(R, "TASK_ROWS", 10)
+    got = [g.value for g in R._shared("f", [4, 4, 4, 25, 1, 9, 1], 1, 7)]
+    assert got == [("f", 1, 3), ("f", 3, 4), ("f", 4, 6), ("f", 6, 7)]
+    assert R._shared("f", [4, 4], 2, 2) == []

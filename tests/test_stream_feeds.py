@@ -25,3 +25,31 @@ def test_row_groups_share_tasks(monkeypatch):
     got = [g.value for g in R._shared("f", [4, 4, 4, 25, 1, 9, 1], 1, 7)]
     assert got == [("f", 1, 3), ("f", 3, 4), ("f", 4, 6), ("f", 6, 7)]
     assert R._shared("f", [4, 4], 2, 2) == []
+
+
+def test_a_large_file_of_messages_is_read_by_several_tasks(tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidegauge.sources import topics as T
+
+    monkeypatch.setattr(T, "TASK_ROWS", 30)
+    (tmp_path / "t" / "data").mkdir(parents=True)
+    pq.write_table(pa.table({"value": [str(i) for i in range(100)]}), tmp_path / "t" / "data" / "a.parquet", row_group_size=7)
+    pq.write_table(pa.table({"value": ["100"]}), tmp_path / "t" / "data" / "b.parquet")
+    assert T.TopicLog(str(tmp_path / "t")).append([("a.parquet", 100), ("b.parquet", 1)])
+    parts = T._planned(str(tmp_path / "t"), 0, 1)
+    assert len(parts) == 5
+    batches = [b for p in parts for b in T._read(p)]
+    assert [o for b in batches for o in b.column(2).to_pylist()] == list(range(101))
+    assert [v for b in batches for v in b.column(3).to_pylist()] == [str(i) for i in range(101)]
+
+
+def test_feeds_are_dealt_to_all_cores(spark, tmp_path):
+    from tidegauge.plans import streams
+
+    spark.range(1000).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id) AS ts", "id AS user_id", "'click' AS event_type", "0.5D AS value", "'{\"k\": 7}' AS props"
+    ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    for rows in (streams.events(spark, str(tmp_path)), streams.dirty_events(spark, str(tmp_path))):
+        assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

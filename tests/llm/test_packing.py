@@ -1,4 +1,7 @@
+import sys
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -83,3 +86,47 @@ def test_neighbours_share_sequences(make_docs, path):
     kind_of = {i: i % 3 for i in range(60)}
     mixed = sum(len({kind_of[p.doc_id] for p in pieces if p.sequence_id == s}) > 1 for s in {p.sequence_id for p in pieces})
     assert mixed <= 2
+
+
+def test_python_calls_do_not_grow_with_the_words(path):
+    own = P.WordTokenizer(path)
+    draw = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+
+    def calls(n):
+        text = " ".join("".join(w).title() + "," for w in letters[draw.integers(0, 26, (n, 9))])
+        counted = [0]
+
+        def count(frame, event, arg):
+            counted[0] += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            own.ids(text)
+        finally:
+            sys.setprofile(None)
+        return counted[0]
+
+    calls(10)
+    assert calls(20_000) < 2 * calls(1_000)
+
+
+def test_plain_characters_in_all_places(path):
+    library, own = Tokenizer.from_file(path), P.WordTokenizer(path, keep=50)
+    plain = [chr(c) for c in (*range(9, 14), *range(32, 127), *range(161, 256))]
+    texts = [form.format(c) for c in plain for form in ("{}", "a{}", "{}a", "Ab{}cD", "it{}s", "1{0}{0}", "a{}.", " {0}  '{0}Re ")]
+    texts += ["it's IT'S 's' we'll' x'", "a.b,c;d a1 1a a_ _a", "é'S À'LL ß' ªº²½"]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in own.encoded(pa.array(texts)).to_pylist()] == expected
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_groups_of_texts(path, kind):
+    own = P.WordTokenizer(path)
+    rows = [None, "", "a b", "x" * 40, None, "日本 a", *[f"word{i} same" for i in range(30)], "<|endoftext|> b", ""]
+    texts = pa.array(rows, kind)
+    groups = P._groups(texts, 32)
+    assert len(groups) > 5 and [i for g in groups for i in range(g.start, g.stop)] == list(range(len(rows)))
+    got = [x for g in groups for x in own.encoded(texts[g]).to_pylist()]
+    assert got == own.encoded(texts).to_pylist() == [own.ids(t or "").tobytes() for t in rows]
+    assert P._groups(texts[:0]) == []

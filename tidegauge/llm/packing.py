@@ -20,11 +20,12 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidegauge.llm.common import stored, type_of
@@ -37,36 +38,43 @@ DIMENSIONS, BITS = 4, 8
 # --- tokens ------------------------------------------------------------------
 
 #: Texts of other characters go to the library as a whole.
-_PLAIN = re.compile("[^\\t-\\r\\x20-\\x7e¡-ÿ]")
+_PLAIN = r"\t-\r\x20-\x7e¡-ÿ"
 # Fixed value: how the vocabulary's own tokenizer splits.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_PIECE = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+)"
+#: Ends a piece while it is merged; no plain text has it.
+_MARK = "\0"
+#: Texts are encoded together up to about this many bytes, a longer one alone.
+GROUP = 1 << 24
 
 
 class WordTokenizer:
-    """The library's ids for a word-based vocabulary, with its words' ids kept.
+    """The library's ids for a word-based vocabulary, of many texts at once.
 
     Such a tokenizer splits at white space first, so the ids of a text are those of
-    its words, one after another. Words seen before are looked up; for texts with
-    characters whose splitting or lower case may differ the library is asked.
+    its words, one after another, and a word's are those of its pieces. Each distinct
+    word of a group is split once and each distinct piece merged once, up to ``keep``
+    pieces in a call. For texts with characters whose splitting or lower case may
+    differ the library is asked.
     """
 
     def __init__(self, path: str, keep: int = 250_000):
         import tiktoken
 
-        self.path = path
+        self.path, self.keep = path, keep
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.keep, self.known = keep, {}
-        # The same merges over bytes, where 0xff, no byte of a text, is the end of a word.
+        self.other = "|".join([f"[^{_PLAIN}]", *map(re.escape, self.special)])
+        # The same merges over bytes, where the mark is the end of a word.
         byte_of = _byte_alphabet()
-        ranks = {}
+        ranks, self.last = {}, np.zeros(self.size, bool)
         for token, rank in spec["model"]["vocab"].items():
             if token not in self.special:
                 word = token.removesuffix("</w>")
-                ranks[bytes(byte_of[c] for c in word) + (b"\xff" if word != token else b"")] = rank
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
+                self.last[rank] = word != token
+                ranks[bytes(byte_of[c] for c in word) + (_MARK.encode() if word != token else b"")] = rank
+        self.merge = tiktoken.Encoding("words", pat_str=f"[^{_MARK}]*{_MARK}", mergeable_ranks=ranks, special_tokens={})
 
     @cached_property
     def library(self):
@@ -75,19 +83,57 @@ class WordTokenizer:
 
         return Tokenizer.from_file(self.path)
 
-    def _word(self, word: str) -> bytes:
-        ids = [i for p in _PIECES.findall(word.lower()) for i in self.merge.encode_single_piece(p.encode() + b"\xff")]
-        found = np.array(ids, "<u2").tobytes()
-        if len(self.known) >= self.keep:
-            self.known.clear()
-        self.known[word] = found
-        return found
+    def _merged(self, pieces: pa.Array) -> pa.Array:
+        """Ids of each piece; none of an empty one."""
+        some = pc.not_equal(pieces, "")
+        found = pieces.filter(some)
+        ids = [np.zeros(0, "<u2")]
+        for first in range(0, len(found), self.keep):
+            marked = pc.binary_join_element_wise(found[first : first + self.keep], _MARK, "")
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(marked)], pa.int32()), marked), "")
+            ids.append(np.array(self.merge.encode_ordinary(joined[0].as_py()), "<u2"))
+        ids = np.concatenate(ids)
+        # A piece's last id, and no other, is of a token at the end of a word.
+        ends = np.flatnonzero(self.last[ids]) + 1
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])]
+        buffers = [None, pa.py_buffer((2 * offsets).astype(np.int32)), pa.py_buffer(ids)]
+        return pa.Array.from_buffers(pa.binary(), len(pieces), buffers)
+
+    def encoded(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text (null: empty) as little-endian 16-bit numbers."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        other = pc.match_substring_regex(texts, self.other)
+        words = pc.ascii_split_whitespace(pc.utf8_lower(pc.if_else(other, "", texts)))
+        ids = _of_parts(words, lambda found: _of_parts(_pieces(found), self._merged))
+        asked = [self.library.encode(t, add_special_tokens=False).ids for t in texts.filter(other).to_pylist()]
+        return pc.replace_with_mask(ids, other, pa.array([np.array(x, "<u2").tobytes() for x in asked], pa.binary()))
 
     def ids(self, text: str) -> np.ndarray:
-        if _PLAIN.search(text) or any(s in text for s in self.special):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u2")
-        known, word = self.known.get, self._word
-        return np.frombuffer(b"".join([known(w) or word(w) for w in text.split()]), "<u2")
+        return np.frombuffer(self.encoded(pa.array([text], pa.string()))[0].as_py(), "<u2")
+
+
+def _of_parts(lists: pa.ListArray, values: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """The joined values of each list's parts, with ``values`` asked once for the distinct ones."""
+    found = lists.flatten().dictionary_encode()
+    return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, values(found.dictionary).take(found.indices)), b"")
+
+
+def _pieces(words: pa.Array) -> pa.ListArray:
+    """The pieces of each lower-case word."""
+    # Most words are letters, or letters and one other character: these need no pattern.
+    whole, stems = pc.utf8_is_alpha(words), pc.utf8_slice_codeunits(words, 0, -1)
+    split = pc.and_not(pc.utf8_is_alpha(stems), whole)
+    spaced = pc.if_else(split, pc.binary_join_element_wise(stems, pc.utf8_slice_codeunits(words, -1), " "), words)
+    others = pc.invert(pc.or_(whole, split))
+    spaced = pc.replace_with_mask(spaced, others, pc.replace_substring_regex(words.filter(others), _PIECE, r"\1 "))
+    return pc.ascii_split_whitespace(spaced)
+
+
+def _groups(texts: pa.Array, size: int = GROUP) -> list[slice]:
+    """Neighbouring rows of about ``size`` bytes of text, or with one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), len(ends)]
+    return [slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -158,19 +204,21 @@ def tokenized(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", end
         tok = tokenizer(vocabulary_path)
         if tok.size > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
-        end = np.array([end_id], "<u2")
+        end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            ids = [tok.ids(t) if t else end[:0] for t in (t.as_py() for t in batch.column(1))]
-            keys = hilbert_keys(grid_cells(ids, tok.size))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(keys, pa.int64()),
-                    pa.array([len(x) + 1 for x in ids], pa.int64()),
-                    pa.array([x.tobytes() + end.tobytes() for x in ids], pa.binary()),
-                ],
-                names=[id_col, "key", "n_tokens", "ids"],
-            )
+            for rows in _groups(batch.column(1)):
+                encoded = tok.encoded(batch.column(1)[rows])
+                ids = [np.frombuffer(x, "<u2") for x in encoded.to_pylist()]
+                keys = hilbert_keys(grid_cells(ids, tok.size))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0)[rows],
+                        pa.array(keys, pa.int64()),
+                        pa.array([len(x) + 1 for x in ids], pa.int64()),
+                        pc.binary_join_element_wise(encoded, end, b""),
+                    ],
+                    names=[id_col, "key", "n_tokens", "ids"],
+                )
 
     schema = T.StructType(
         [
